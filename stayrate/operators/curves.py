@@ -79,7 +79,7 @@ def roc_points(ranked: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     )
     totals = ranked.groupBy(*by).agg(F.max("total_pos").alias("p"), F.max("total_neg").alias("n"))
     zero = F.lit(0).cast("bigint")
-    ends = totals.select(
+    ends = totals.filter("p IS NOT NULL").select(
         *by,
         F.inline(
             F.array(
@@ -87,7 +87,7 @@ def roc_points(ranked: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
                 _point(F.lit(float("-inf")), F.col("p"), F.col("n"), 1.0),
             )
         ),
-    ).filter("tp IS NOT NULL")
+    )
     return points.unionByName(ends)
 
 
