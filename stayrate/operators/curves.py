@@ -49,9 +49,10 @@ def ranked_counts(scored: DataFrame, *, by: Sequence[str] = (), blocks: int | No
         F.sum("_neg").over(everything).alias("total_neg"),
     )
 
-    # Join and window share one partitioning, so the distinct scores shuffle once here.
+    # The hint keeps the planner from broadcasting the distinct scores, whose size it cannot know
+    # after a checkpoint. Join and window share one partitioning: the scores shuffle once here.
     in_block = Window.partitionBy(*by, BLOCK).orderBy(descending).rowsBetween(Window.unboundedPreceding, 0)
-    return placed.join(offsets, [*by, BLOCK]).select(
+    return placed.join(offsets.hint("shuffle_hash"), [*by, BLOCK]).select(
         *by,
         "score",
         "pos",

@@ -1,27 +1,36 @@
-"""Categorical encoding and vector assembly with ``pyspark.ml``.
+"""Categorical encoding and vector assembly.
 
 Everything here is map-only once the category labels are known, and those come from one
 aggregation over all categorical columns.
+
+The same vector can be built in two ways. ``fit_encoder`` and ``feature_assembler`` are the
+``pyspark.ml`` stages. ``direct_features`` writes the slots as plain comparisons, which stay in
+generated code and are several times faster than passing 16 vectors per row between stages;
+feature stores use it unless the vector is too wide for that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions.columns import binarize_label
 from stayrate.operators.bounded import held_locally
 from stayrate.operators.cleaning import numeric_columns
-from stayrate.operators.features import contract_averages, engineer_features
+from stayrate.operators.features import add_tenure_bucket, contract_averages, engineer_features
 from stayrate.schemas import CATEGORICAL_COLUMNS, METADATA_COLUMNS, NUMERIC_COLUMNS
 from stayrate.sources.readers import read_parquet
 from stayrate.sources.writers import write_parquet
 
+# Beyond this width comparing against every label costs more than looking the value up.
+DIRECT_SLOTS = 256
+
 # An indexed column becomes one vector slot per category and its labels live on the driver.
 MAX_CATEGORIES = 1_000
 
@@ -32,25 +41,26 @@ def category_counts(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) ->
     return df.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("column", "value").count()
 
 
-def category_indices(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
-    """Index of each value: most frequent first, ties by name."""
+def category_indices(
+    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int = MAX_CATEGORIES
+) -> DataFrame:
+    """Index of each value: most frequent first, ties by name.
+
+    Stops at ``max_categories`` per column on average: an identifier passed as a category fails
+    here instead of flooding one task or the driver.
+    """
+    counts = held_locally(category_counts(df, columns), max_rows=max_categories * len(columns))
+    if counts is None:
+        raise ValueError(f"more than {max_categories} categories per column; is one of {columns} an identifier?")
     order = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    return category_counts(df, columns).withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+    return counts.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
 
 
 def fit_indexers(
     df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int = MAX_CATEGORIES
 ) -> list[StringIndexerModel]:
-    """One indexer per column, all learned in one pass; unseen and NULL values get the extra last index.
-
-    Stops at ``max_categories`` per column on average: an identifier passed as a category fails
-    here instead of flooding the driver.
-    """
-    bound = max_categories * len(columns)
-    rows = category_counts(df, columns).limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"more than {max_categories} categories per column; is one of {columns} an identifier?")
-    ranked = sorted(rows, key=lambda r: (-r["count"], r["value"]))
+    """One indexer per column, all learned in one pass; unseen and NULL values get the extra last index."""
+    ranked = category_indices(df, columns, max_categories=max_categories).orderBy("index").collect()
     return [
         StringIndexerModel.from_labels(
             [r["value"] for r in ranked if r["column"] == c], inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"
@@ -86,17 +96,41 @@ def numeric_assembler(df: DataFrame) -> VectorAssembler:
     return VectorAssembler(inputCols=numeric_columns(df), outputCol="features", handleInvalid="skip")
 
 
-def feature_store(encoded: DataFrame, *, label: str = "Churn", extra: Sequence[str] = ()) -> DataFrame:
+def category_labels(encoder: PipelineModel) -> dict[str, list[str]]:
+    """Column to labels in index order, out of a fitted encoder."""
+    indexers = [stage for stage in encoder.stages if isinstance(stage, StringIndexerModel)]
+    return {stage.getInputCol(): list(stage.labels) for stage in indexers}
+
+
+def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without NULL or NaN in ``columns``; one condition per column, so each reaches the scan."""
+    kinds = dict(df.dtypes)
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+        if kinds[c] == "double":
+            df = df.filter(~F.isnan(c))
+    return df
+
+
+def direct_features(df: DataFrame, labels: Mapping[str, list[str]], numeric: list[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """Add ``features`` as ``feature_assembler`` would, with the same slot names. Needs complete rows."""
+    slots = [F.col(c).cast("double") for c in numeric]
+    slots += [F.when(F.col(c) == value, 1.0).otherwise(0.0) for c, values in labels.items() for value in values]
+    hot_names = [f"{c}_ohe_{value}" for c, values in labels.items() for value in values]
+    attributes = {
+        "numeric": [{"idx": i, "name": name} for i, name in enumerate(numeric)],
+        "binary": [{"idx": i, "name": name} for i, name in enumerate(hot_names, len(numeric))],
+    }
+    metadata = {"ml_attr": {"attrs": attributes, "num_attrs": len(slots)}}
+    return df.withColumn("features", array_to_vector(F.array(*slots)).alias("features", metadata=metadata))
+
+
+def store_columns(vectors: DataFrame, *, label: str = "Churn", extra: Sequence[str] = ()) -> DataFrame:
     """Vector, label and metadata columns only; the wide intermediates go no further.
 
     ``extra`` keeps further columns, such as ``source_row`` to split by.
     """
-    return (
-        feature_assembler()
-        .transform(encoded)
-        .withColumn("label", binarize_label(F.col(label)))
-        .select("features", "label", *METADATA_COLUMNS, *extra)
-    )
+    return vectors.withColumn("label", binarize_label(F.col(label))).select("features", "label", *METADATA_COLUMNS, *extra)
 
 
 @dataclass(frozen=True)
@@ -107,7 +141,14 @@ class FeatureModel:
     encoder: PipelineModel
 
     def transform(self, subscribers: DataFrame, *, extra: Sequence[str] = ()) -> DataFrame:
-        return feature_store(self.encoder.transform(engineer_features(subscribers, self.averages)), extra=extra)
+        """The feature store of ``subscribers``. Rows with a missing number or contract drop out."""
+        # The derived numbers are missing exactly when one of these is.
+        rows = complete_rows(subscribers, ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"])
+        engineered = engineer_features(rows, complete_rows(self.averages, ["avg_charge_by_contract"]))
+        labels = category_labels(self.encoder)
+        if sum(map(len, labels.values())) <= DIRECT_SLOTS:
+            return store_columns(direct_features(engineered, labels), extra=extra)
+        return store_columns(feature_assembler().transform(self.encoder.transform(engineered)), extra=extra)
 
     def save(self, path: str) -> None:
         write_parquet(self.averages, f"{path}/averages")
@@ -123,4 +164,6 @@ def fit_features(subscribers: DataFrame) -> FeatureModel:
     averages = contract_averages(subscribers)
     # A small result is kept as it is, so that later uses do not aggregate the table again.
     averages = held_locally(averages) or averages
-    return FeatureModel(averages, fit_encoder(engineer_features(subscribers, averages)))
+    # Rows without a contract have no average and do not get as far as the encoder.
+    encoded_rows = subscribers.filter("Contract IS NOT NULL").transform(add_tenure_bucket)
+    return FeatureModel(averages, fit_encoder(encoded_rows))

@@ -49,26 +49,35 @@ def with_fold(df: DataFrame, key: str, folds: int, *, seed: int = 42) -> DataFra
     return df.withColumn("fold", (hash_bigint("fold", seed, F.col(key)) % folds).cast("int"))
 
 
-def bootstrap_rows(
-    source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42, broadcast_rows: int = BROADCAST_SOURCE_ROWS
+def draw_rows(
+    numbered: DataFrame, rows: int, *, seed: int = 42, broadcast_rows: int = BROADCAST_SOURCE_ROWS
 ) -> DataFrame:
-    """Exactly ``rows`` draws with replacement, each with a new id.
+    """``rows`` draws with replacement from a table numbered by ``source_row``.
 
-    Adds ``row_id`` (0..rows-1) and ``source_row`` (which source row was drawn) and replaces
-    ``customerID``. The draws are generated on the executors; the source is broadcast when it is
-    small and joined by shuffle otherwise.
+    The draws are generated on the executors; the source is broadcast when it is small and
+    joined by shuffle otherwise.
     """
-    numbered = number_rows(source, key, name="source_row")
     size = numbered.count()
     if size == 0:
         raise ValueError("cannot draw from an empty table")
-    draws = source.sparkSession.range(rows).select(
+    draws = numbered.sparkSession.range(rows).select(
         F.col("id").alias("row_id"), (hash_bigint("draw", seed, F.col("id")) % size).alias("source_row")
     )
-    drawn = draws.join(F.broadcast(numbered) if size <= broadcast_rows else numbered, "source_row")
-    return drawn.withColumn("customerID", C.subscriber_id(F.col("row_id"), CHUNK_ROWS)).select(
-        *source.columns, "row_id", "source_row"
-    )
+    drawn = draws.join(F.broadcast(numbered) if size <= broadcast_rows else numbered.hint("merge"), "source_row")
+    columns = [c for c in numbered.columns if c != "source_row"]
+    renamed = drawn.withColumn("customerID", C.subscriber_id(F.col("row_id"), CHUNK_ROWS))
+    return renamed.select(*columns, "row_id", "source_row")
+
+
+def bootstrap_rows(
+    source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42, broadcast_rows: int = BROADCAST_SOURCE_ROWS
+) -> DataFrame:
+    """Exactly ``rows`` draws with replacement, each with a new id.
+
+    Adds ``row_id`` (0..rows-1) and ``source_row`` (which source row was drawn, in ``key`` order)
+    and replaces ``customerID``.
+    """
+    return draw_rows(number_rows(source, key, name="source_row"), rows, seed=seed, broadcast_rows=broadcast_rows)
 
 
 def column_stddevs(df: DataFrame, columns: list[str] = NOISY_COLUMNS) -> dict[str, float]:
@@ -90,6 +99,7 @@ def add_noise(
 
 
 def scale_up(source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42) -> DataFrame:
-    """Bootstrap plus noise: the scaled-up subscriber table."""
-    stddevs = column_stddevs(source, [c for c in NOISY_COLUMNS if c in source.columns])
-    return bootstrap_rows(source, rows, key=key, seed=seed).transform(add_noise, stddevs, seed=seed)
+    """Bootstrap plus noise: the scaled-up subscriber table. ``source`` is evaluated once."""
+    numbered = number_rows(source, key, name="source_row")
+    stddevs = column_stddevs(numbered, [c for c in NOISY_COLUMNS if c in source.columns])
+    return draw_rows(numbered, rows, seed=seed).transform(add_noise, stddevs, seed=seed)

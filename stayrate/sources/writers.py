@@ -9,20 +9,19 @@ from stayrate.schemas import ROW_GROUP_ROWS
 SCORE_FORMATS = ("parquet", "csv")
 
 
-def write_parquet(df: DataFrame, path: str, *, max_records_per_file: int = 0, compression: str = "snappy") -> None:
-    """Compressed Parquet with as many files as ``df`` has partitions, split further by a row bound."""
-    writer = df.write.mode("overwrite").option("compression", compression)
-    writer.option("maxRecordsPerFile", max_records_per_file).parquet(path)
+def write_parquet(df: DataFrame, path: str, **options: object) -> None:
+    """Snappy-compressed Parquet with as many files as ``df`` has partitions."""
+    df.write.mode("overwrite").options(compression="snappy", **options).parquet(path)
 
 
 def write_row_bounded(df: DataFrame, path: str, *, rows: int = ROW_GROUP_ROWS) -> None:
-    """Parquet whose files, and so whose row groups, hold at most ``rows`` rows."""
-    write_parquet(df, path, max_records_per_file=rows)
+    """Parquet whose row groups hold at most ``rows`` rows."""
+    write_parquet(df, path, **{"parquet.block.row.count.limit": rows})
 
 
-def write_file_count(df: DataFrame, path: str, *, files: int | None) -> None:
-    """Parquet in exactly ``files`` even files, or in balanced files of Spark's advisory size for None."""
-    write_parquet(df.hint("rebalance") if files is None else df.repartition(files), path)
+def write_file_count(df: DataFrame, path: str, *, files: int | None = None) -> None:
+    """Parquet in exactly ``files`` even files; None writes the partitions as they are, without a shuffle."""
+    write_parquet(df if files is None else df.repartition(files), path)
 
 
 def check_score_format(output_format: str) -> str:

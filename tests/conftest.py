@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")  # plans are asserted on in full
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .config("spark.checkpoint.dir", str(scratch / "checkpoints"))

@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayrate.operators import encoding
-from stayrate.operators.features import add_tenure_bucket
+from stayrate.operators.features import add_tenure_bucket, engineer_features
 from stayrate.operators.importance import feature_names
 from stayrate.schemas import CATEGORICAL_COLUMNS, METADATA_COLUMNS
 from stayrate.testbed import tables
@@ -59,3 +59,25 @@ def test_feature_model_round_trip(spark, sf_dir, tmp_path):
         for m in (model, loaded)
     )
     assert a.exceptAll(b).count() == 0 and a.count() == 150
+
+
+def test_direct_vectors_equal_the_assembled_ones(spark, sf_dir):
+    subscribers = tables.gappy_subscribers(spark, sf_dir).withColumn(
+        "TotalCharges", F.when(F.crc32("customerID") % 9 == 0, float("nan")).otherwise(F.col("TotalCharges"))
+    )
+    model = encoding.fit_features(subscribers.filter("tenure > 10"))  # leaves categories unseen
+    staged = encoding.feature_assembler().transform(model.encoder.transform(engineer_features(subscribers, model.averages)))
+    expected, found = encoding.store_columns(staged), model.transform(subscribers)
+    assert feature_names(found) == feature_names(expected)
+    a, b = (df.select("customerID", "label", vector_to_array("features").alias("v")) for df in (found, expected))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count() > 0
+
+
+def test_wide_encoders_use_the_stages(spark, sf_dir, monkeypatch):
+    subscribers = tables.subscribers(spark, sf_dir)
+    model = encoding.fit_features(subscribers)
+    direct = model.transform(subscribers).select("customerID", vector_to_array("features").alias("v"))
+    monkeypatch.setattr(encoding, "DIRECT_SLOTS", 10)
+    staged = model.transform(subscribers)
+    assert feature_names(staged) == feature_names(model.transform(subscribers))
+    assert direct.exceptAll(staged.select("customerID", vector_to_array("features").alias("v"))).count() == 0

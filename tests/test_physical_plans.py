@@ -45,6 +45,10 @@ def test_only_needed_columns_are_scanned(stored):
 
 def test_filters_reach_the_scan(stored):
     assert "PushedFilters: [IsNotNull(tenure), LessThan(tenure,12)]" in plan(stored.filter("tenure < 12"))
+    store = plan(fit_features(stored).transform(stored))
+    pushed = next(line for line in store.splitlines() if "PushedFilters" in line)
+    for c in ("Contract", "tenure", "TotalCharges"):
+        assert f"IsNotNull({c})" in pushed
 
 
 def test_feature_step_and_scoring_are_map_only(stored):
@@ -82,8 +86,11 @@ def test_curve_over_scores_has_no_single_partition_step(spark, sf_dir):
 
 
 def test_curve_window_reuses_the_join_partitioning(spark, sf_dir):
-    ranked = curves.ranked_counts(tables.stacked_scores(spark, sf_dir), by=["model"], blocks=4)
-    assert "SinglePartition" not in plan(ranked)
+    ranked = plan(curves.ranked_counts(tables.stacked_scores(spark, sf_dir), by=["model"], blocks=4))
+    assert "SinglePartition" not in ranked
+    assert "ShuffledHashJoin" in ranked and "Broadcast" not in ranked  # neither side has a known size
+    above_join = ranked.partition("ShuffledHashJoin")[0]
+    assert "Window" in above_join and "Exchange" not in above_join
 
 
 def test_no_python_in_any_relational_query(spark, sf_dir):
