@@ -10,14 +10,21 @@ from stayrate.functions.columns import numeric_label
 
 
 def resolve_label(df: DataFrame, *, strict: bool = False, drop_source: bool = True) -> DataFrame:
-    """Add ``label`` as double, from ``label`` when the table has it and from ``Churn`` otherwise."""
+    """Add ``label`` as double, from ``label`` when the table has it and from ``Churn`` otherwise.
+
+    ``strict`` fails on text that is neither a number nor Yes or No, instead of giving NULL.
+    """
     if "label" in df.columns:
         source = "label"
     elif "Churn" in df.columns:
         source = "Churn"
     else:
         raise ValueError("the table needs a 'label' or a 'Churn' column")
-    labelled = df.withColumn("label", numeric_label(F.col(source), strict=strict))
+    if isinstance(df.schema[source].dataType, T.NumericType):
+        value = F.col(source).cast("double")
+    else:
+        value = numeric_label(F.col(source), strict=strict)
+    labelled = df.withColumn("label", value)
     return labelled.drop("Churn") if drop_source else labelled
 
 

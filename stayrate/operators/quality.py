@@ -5,8 +5,6 @@ The data checks are two aggregations: one over all columns, one over the class c
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +32,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def _long(wide: DataFrame, entries: list[list[Column]]) -> DataFrame:
-    """One aggregated row to one row per entry."""
+    """One row to one row per entry."""
     return wide.select(F.inline(F.array(*(F.struct(*entry) for entry in entries))))
 
 
@@ -98,10 +96,10 @@ def quality_report(df: DataFrame, *, target_rows: int | None = None, label: str
         *(F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in NON_NEGATIVE_COLUMNS),
     )
 
-    def entry(check: str, column: str, value: Column, ok: Column) -> list[Column]:
+    def entry(check: str, column: str | Column, value: Column, ok: Column) -> list[Column]:
         return [
             F.lit(check).alias("check"),
-            F.lit(column).alias("column"),
+            F.lit(column).alias("column"),  # a Column passes through
             value.cast("double").alias("value"),
             ok.cast("boolean").alias("ok"),
         ]
@@ -117,13 +115,9 @@ def quality_report(df: DataFrame, *, target_rows: int | None = None, label: str
 
     classes = class_distribution(df, label)
     named = F.concat_ws("=", F.lit(label), F.coalesce(F.col(label).cast("string"), F.lit("NULL")))
-    shares = [
-        classes.select(
-            F.lit(check).alias("check"), named.alias("column"), F.col(value).cast("double").alias("value"), unchecked.cast("boolean").alias("ok")
-        )
-        for check, value in (("class_count", "count"), ("class_pct", "pct"))
-    ]
-    return reduce(DataFrame.unionByName, [_long(wide, entries), *shares])
+    per_class = [("class_count", "count"), ("class_pct", "pct")]
+    shares = _long(classes.withColumn("_class", named), [entry(check, F.col("_class"), F.col(v), unchecked) for check, v in per_class])
+    return _long(wide, entries).unionByName(shares)
 
 
 def issue_rows(issues: DataFrame) -> DataFrame:

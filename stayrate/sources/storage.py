@@ -42,8 +42,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path``, which may be a glob pattern, names something."""
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+    found = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(location)
+    return found is not None and len(found) > 0
 
 
 def require_path(spark: SparkSession, path: str, what: str) -> None:

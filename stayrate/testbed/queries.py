@@ -213,7 +213,7 @@ def stddev_profile(spark, sf):
 @_query
 def quality_report(spark, sf):
     report = quality.quality_report(tables.gappy_subscribers(spark, sf), target_rows=2_000_000)
-    return report.filter(F.col("check").isin("row_count", "null_count", "negative_count", "class_count"))
+    return report.filter(F.col("check").isin("row_count", "null_count", "negative_count"))
 
 
 @_query

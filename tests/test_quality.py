@@ -22,6 +22,7 @@ def test_schema_issues(spark):
 
 def test_report_runs_two_aggregations(spark, sf_dir):
     report = quality.quality_report(tables.subscribers(spark, sf_dir), target_rows=150)
+    assert report._jdf.queryExecution().executedPlan().toString().count("orders.parquet") == 2
     rows = {(r["check"], r["column"]): r for r in report.collect()}
     assert rows["row_count", "*"]["value"] == 150 and rows["row_count", "*"]["ok"]
     assert all(rows["null_count", c]["ok"] for c in SUBSCRIBER_TYPES)

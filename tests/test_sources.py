@@ -46,6 +46,7 @@ def test_explicit_part_files(spark, tmp_path):
     assert len(parts) == 4
     assert readers.read_parquet(spark, *parts[:2]).count() == 50
     assert readers.read_parquet_parts(spark, path).count() == 100
+    assert readers.read_parquet(spark, f"{path}/part-0000[01]*.parquet").count() == 50
 
 
 def test_file_count_row_bound_and_codec(spark, tmp_path):
