@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from stayrate.operators.encoding import FeatureModel
 from stayrate.operators.training import TrainingConfig
 from stayrate.plans import jobs
 from stayrate.schemas import TARGET_ROWS
@@ -29,7 +30,9 @@ def _parser() -> argparse.ArgumentParser:
     job = commands.add_parser("features", help="subscriber table to feature store")
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)
-    job.add_argument("--files", type=int)
+    job.add_argument("--files", type=int, help="number of output files; default: one per partition")
+    job.add_argument("--save-model", help="keep the learned averages and encoders here")
+    job.add_argument("--use-model", help="use averages and encoders saved earlier")
 
     job = commands.add_parser("train", help="cross-validated search of three classifiers")
     job.add_argument("--input", required=True)
@@ -62,7 +65,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "ingest":
         jobs.ingest_job(spark, args.input, args.report, target_rows=args.target_rows).show(100, truncate=False)
     elif args.job == "features":
-        jobs.feature_job(spark, args.input, args.output, files=args.files).show()
+        earlier = FeatureModel.load(spark, args.use_model) if args.use_model else None
+        jobs.feature_job(
+            spark, args.input, args.output, files=args.files, feature_model=earlier, save_model_to=args.save_model
+        ).show()
     elif args.job == "train":
         config = TrainingConfig(fast=args.fast, sample_fraction=args.sample_fraction)
         result = jobs.training_job(spark, args.input, args.models, config)

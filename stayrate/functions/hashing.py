@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLIT_STEPS = 10_000
+_HASH_BITS = 60  # 15 hexadecimal digits
 
 
 def _digest(purpose: str, seed: int, key: Column) -> Column:
@@ -28,8 +28,8 @@ def hash_bigint(purpose: str, seed: int, key: Column) -> Column:
 
 
 def hash_fraction_below(purpose: str, seed: int, key: Column, fraction: float) -> Column:
-    """True for about ``fraction`` of the keys, in steps of 1/10000."""
-    return hash_bigint(purpose, seed, key) % _SPLIT_STEPS < round(fraction * _SPLIT_STEPS)
+    """True for about ``fraction`` of the keys."""
+    return hash_bigint(purpose, seed, key) < F.lit(int(fraction * (1 << _HASH_BITS)))
 
 
 def hash_normal(purpose: str, seed: int, key: Column) -> Column:

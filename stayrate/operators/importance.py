@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,13 +15,13 @@ def feature_names(df: DataFrame, column: str = "features") -> dict[int, str]:
     return {a["idx"]: a["name"] for group in attributes.values() for a in group if "name" in a}
 
 
-def importance_table(models: Mapping[str, PipelineModel], names: Mapping[int, str], spark) -> DataFrame:
+def importance_table(models: Mapping[str, PipelineModel], names: Mapping[int, str], spark: SparkSession) -> DataFrame:
     """(model, slot, feature, importance) of tree models, padded to equal length with 0.0.
 
     One row per vector slot and model: this is the size of the models, not of the data.
     """
     vectors = {m: pipeline.stages[-1].featureImportances for m, pipeline in models.items()}
-    width = max([len(v) for v in vectors.values()] + [slot + 1 for slot in names])
+    width = max([0, *(len(v) for v in vectors.values()), *(slot + 1 for slot in names)])
     rows = [
         (m, slot, names.get(slot, f"feature_{slot}"), float(v[slot]) if slot < len(v) else 0.0)
         for m, v in vectors.items()

@@ -7,6 +7,8 @@ from the block totals, of which there are only as many as blocks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,13 @@ _TIE = "_tie"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
 
 
-def default_blocks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _by_range(df: DataFrame, order: Sequence[Column], blocks: int | None) -> DataFrame:
+    """Range partitions in ``order``.
+
+    Without a number Spark uses the session's shuffle partitions and adaptively merges small
+    neighbours, so a small table gets few blocks; merging neighbours keeps the order.
+    """
+    return df.repartitionByRange(*order) if blocks is None else df.repartitionByRange(blocks, *order)
 
 
 def ordered_blocks(df: DataFrame, *order: Column, blocks: int | None = None) -> DataFrame:
@@ -28,7 +35,7 @@ def ordered_blocks(df: DataFrame, *order: Column, blocks: int | None = None) ->
     but not in the order, so results built on blocks do not depend on it. The checkpoint is what
     makes one run's borders final: a recomputed task reads them back instead of sampling again.
     """
-    ranged = df.repartitionByRange(blocks or default_blocks(df), *order)
+    ranged = _by_range(df, order, blocks)
     return checkpointed(ranged.withColumn(BLOCK, F.spark_partition_id()))
 
 
@@ -42,7 +49,7 @@ def number_rows(df: DataFrame, *keys: str, blocks: int | None = None, name: str
     columns = df.columns
     tagged = checkpointed(df.withColumn(_TIE, F.monotonically_increasing_id()))
     order = [*(F.col(k) for k in keys), F.xxhash64(*columns), F.col(_TIE)]
-    ranged = tagged.repartitionByRange(blocks or default_blocks(df), *order).sortWithinPartitions(*order)
+    ranged = _by_range(tagged, order, blocks).sortWithinPartitions(*order)
     placed = checkpointed(
         ranged.select(
             *columns,

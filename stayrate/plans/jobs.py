@@ -75,15 +75,18 @@ def feature_job(
     files: int | None = None,
     fit_on: DataFrame | None = None,
     feature_model: FeatureModel | None = None,
+    save_model_to: str | None = None,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Subscriber table to feature store; returns the counts of the written table.
 
     The averages and encoders are learned from the whole table, from ``fit_on`` (training rows
-    only), or taken from an earlier ``feature_model``.
+    only), or taken from an earlier ``feature_model``. Save them to encode later months alike.
     """
     subscribers = read_parquet(spark, table)
     model = feature_model or fit_features(subscribers if fit_on is None else fit_on)
+    if save_model_to is not None:
+        model.save(save_model_to)
     write_file_count(model.transform(subscribers, extra=extra), output, files=files)
     return quality.check_written(spark.read.parquet(output))
 
@@ -168,11 +171,13 @@ def evaluation_job(
     tree_models = {n: models[n] for n in config.importance_models if n in models}
     names_by_slot = importance.feature_names(vector_schema(measured))
     importances = importance.importance_table(tree_models, names_by_slot, spark)
-    write_parquet(importance.side_by_side(importances, list(tree_models)), f"{output}/importances")
+    if tree_models:
+        write_parquet(importance.side_by_side(importances, list(tree_models)), f"{output}/importances")
 
     report = spark.read.parquet(f"{output}/report")
-    sweep = spark.read.parquet(f"{output}/thresholds").filter(F.col("model") == config.threshold_model).drop("model")
-    result = summary(report, metrics.best_threshold(sweep), importance.top_features(importances, config.threshold_model))
+    chosen = config.threshold_model if config.threshold_model in models else names[0]
+    sweep = spark.read.parquet(f"{output}/thresholds").filter(F.col("model") == chosen).drop("model")
+    result = summary(report, metrics.best_threshold(sweep), importance.top_features(importances, chosen))
     write_report(result, f"{output}/summary")
     return spark.read.schema(result.schema).json(f"{output}/summary")
 
@@ -212,7 +217,7 @@ def summary(report: DataFrame, threshold: DataFrame, top: DataFrame) -> DataFram
         F.lit(best).alias("best_model"),
         F.lit(chosen["threshold"]).alias("best_threshold"),
         F.round(F.lit(chosen["f1"]), 4).alias("threshold_f1"),
-        F.array(*map(F.lit, features)).alias("top_features"),
+        F.array(*map(F.lit, features)).cast("array<string>").alias("top_features"),
     )
 
 

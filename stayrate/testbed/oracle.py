@@ -402,10 +402,10 @@ points AS (
         "SELECT model, roc_auc AS auc FROM areas ORDER BY roc_auc DESC, list_position(['LR', 'RF', 'GBT'], model) LIMIT 1",
     ),
     "ranked_scores": _with(f"{_PLANTED}, {_ONE}, {_ranked('one')}", "SELECT score, tp, fp FROM ranked"),
-    "hash_sample": f"SELECT o_orderkey, o_custkey FROM orders WHERE {_hash('sample', 'o_orderkey')} % 10000 < 1000",
+    "hash_sample": f"SELECT o_orderkey, o_custkey FROM orders WHERE {_hash('sample', 'o_orderkey')} < {int(0.1 * 2**60)}",
     "hash_split": _with(
         _SUBSCRIBERS,
-        f"SELECT customerID, {_hash('split', 'customerID')} % 10000 < 8000 AS is_train, "
+        f"SELECT customerID, {_hash('split', 'customerID')} < {int(0.8 * 2**60)} AS is_train, "
         f"CAST({_hash('fold', 'customerID')} % 3 AS INTEGER) AS fold FROM subscribers",
     ),
     "bootstrap_rows": _with(

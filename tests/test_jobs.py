@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 
 from stayrate.__main__ import main
 from stayrate.operators.sampling import hash_split
@@ -83,6 +84,22 @@ def test_scoring_from_the_command_line(spark, folder, store, trained):
     assert spark.read.csv(f"{folder}/csv", header=True).count() == 3000
 
 
+def test_later_months_are_encoded_alike(spark, folder, store):
+    save = f"{folder}/feature_model"
+    main(["features", "--input", f"{folder}/scaled", "--output", f"{folder}/m1", "--files", "2", "--save-model", save])
+    spark.read.parquet(f"{folder}/scaled").filter("Contract = 'Two year'").write.parquet(f"{folder}/month2")
+    main(["features", "--input", f"{folder}/month2", "--output", f"{folder}/m2", "--use-model", save])
+    first = spark.read.parquet(f"{folder}/m1").select("customerID", vector_to_array("features").alias("v"))
+    second = spark.read.parquet(f"{folder}/m2").select("customerID", vector_to_array("features").alias("v"))
+    assert second.count() > 0 and second.exceptAll(first).count() == 0
+
+
+def test_evaluation_of_one_linear_model(spark, folder, store, trained):
+    config = jobs.EvaluationConfig(training=TrainingConfig(fast=True, split_key="source_row", models=("LR",)))
+    row = jobs.evaluation_job(spark, store, f"{folder}/models", f"{folder}/lr_only", config).first()
+    assert row["best_model"] == "LR" and row["top_features"] == [] and row["best_threshold"] is not None
+
+
 def test_scoring_checks_its_inputs(spark, folder, store):
     with pytest.raises(ValueError, match="parquet, csv"):
         jobs.scoring_job(spark, store, f"{folder}/models", f"{folder}/x", output_format="orc")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayrate.operators import sampling
-from stayrate.operators.ordering import number_rows
+from stayrate.operators.ordering import BLOCK, number_rows, ordered_blocks
 from stayrate.testbed import tables
 
 
@@ -22,6 +22,20 @@ def test_number_rows_splits_copies_of_one_row(spark):
     assert numbered.filter("k = -1").agg(F.max("row_index")).first()[0] == 1499
 
 
+def test_default_blocks_follow_the_size(spark):
+    """Small tables get few blocks, whatever the session's shuffle partitions."""
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = spark.range(0, 5000, 1, 3).select((F.lit(4999) - F.col("id")).alias("k"))
+        placed = ordered_blocks(df, F.col("k"))
+        assert placed.agg(F.countDistinct(BLOCK)).first()[0] < 50
+        borders = placed.groupBy(BLOCK).agg(F.min("k").alias("low"), F.max("k").alias("high")).orderBy(BLOCK).collect()
+        assert all(a["high"] < b["low"] for a, b in zip(borders, borders[1:]))
+        assert number_rows(df, "k").filter("k <> row_index").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 @pytest.mark.parametrize("broadcast_rows", [1_000_000, 1])
 def test_bootstrap_is_exact_and_unique(spark, sf_dir, broadcast_rows):
     source = tables.subscribers(spark, sf_dir)
