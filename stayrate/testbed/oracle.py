@@ -309,22 +309,33 @@ UNION ALL SELECT 'null_count', "column", CAST(nulls AS DOUBLE), nulls = 0 FROM n
 UNION ALL SELECT 'negative_count', "column", CAST(negatives AS DOUBLE), negatives = 0 FROM negatives"""
 
 
-def _noisy(column: str) -> str:
-    moved = f"{column} + {_normal(f'noise-{column}', 'customerID')} * ({dbl(NOISE_FACTOR)} * {column}_sd)"
-    return f"CASE WHEN {moved} < 0 THEN CAST(0 AS DOUBLE) ELSE {moved} END"
+def _noise(source: str, key: str) -> str:
+    """The noisy columns of ``source``, which carries its own columns and the seed table's spread."""
 
+    def moved(column: str) -> str:
+        value = f"{column} + {_normal(f'noise-{column}', key)} * ({dbl(NOISE_FACTOR)} * {column}_sd)"
+        return f"CASE WHEN {value} < 0 THEN CAST(0 AS DOUBLE) ELSE {value} END"
 
-_NOISE = f"""SELECT customerID, CAST(round_even({_noisy('tenure')}, 0) AS BIGINT) AS tenure,
-       {half_up(_noisy('MonthlyCharges'), 4)} AS MonthlyCharges,
-       {half_up(_noisy('TotalCharges'), 4)} AS TotalCharges
-FROM subscribers, (SELECT stddev_samp(tenure) AS tenure_sd, stddev_samp(MonthlyCharges) AS MonthlyCharges_sd,
-                          stddev_samp(TotalCharges) AS TotalCharges_sd FROM subscribers)"""
+    return f"""CAST(round_even({moved('tenure')}, 0) AS BIGINT) AS tenure,
+       {half_up(moved('MonthlyCharges'), 4)} AS MonthlyCharges,
+       {half_up(moved('TotalCharges'), 4)} AS TotalCharges
+FROM {source}, (SELECT stddev_samp(tenure) AS tenure_sd, stddev_samp(MonthlyCharges) AS MonthlyCharges_sd,
+                       stddev_samp(TotalCharges) AS TotalCharges_sd FROM subscribers)"""
 
 
 def _subscriber_id(value: str, chunk: int) -> str:
     return f"printf('CUST-%04d-%06d', {value} // {chunk}, {value} % {chunk})"
 
 
+_DRAWN = f"""{_SUBSCRIBERS},
+numbered AS (SELECT *, row_number() OVER (ORDER BY customerID) - 1 AS source_row FROM subscribers),
+draws AS (
+  SELECT row_id, {_hash('draw', 'row_id')} % (SELECT count(*) FROM subscribers) AS source_row
+  FROM (SELECT unnest(range(0, (SELECT 4 * count(*) FROM subscribers))) AS row_id)
+),
+drawn AS (SELECT * FROM draws JOIN numbered USING (source_row))"""
+
+
 ORACLE: dict[str, str] = {
     "parquet_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "multi_file_scan": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
@@ -409,16 +420,15 @@ points AS (
         f"CAST({_hash('fold', 'customerID')} % 3 AS INTEGER) AS fold FROM subscribers",
     ),
     "bootstrap_rows": _with(
-        f"""{_SUBSCRIBERS},
-numbered AS (SELECT *, row_number() OVER (ORDER BY customerID) - 1 AS source_row FROM subscribers),
-draws AS (
-  SELECT row_id, {_hash('draw', 'row_id')} % (SELECT count(*) FROM subscribers) AS source_row
-  FROM (SELECT unnest(range(0, (SELECT 4 * count(*) FROM subscribers))) AS row_id)
-)""",
+        _DRAWN,
         f"SELECT {_subscriber_id('row_id', 500000)} AS customerID, customerID AS source_id, row_id, source_row, "
-        "tenure, MonthlyCharges, Contract FROM draws JOIN numbered USING (source_row)",
+        "tenure, MonthlyCharges, Contract FROM drawn",
+    ),
+    "gaussian_noise": _with(_SUBSCRIBERS, f"SELECT customerID, {_noise('subscribers', 'customerID')}"),
+    "scaled_up_subscribers": _with(
+        _DRAWN,
+        f"SELECT {_subscriber_id('row_id', 500000)} AS customerID, Contract, Churn, row_id, source_row, {_noise('drawn', 'row_id')}",
     ),
-    "gaussian_noise": _with(_SUBSCRIBERS, _NOISE),
     "string_index": _with(
         _INDEXED, 'SELECT "column", value, "count", CAST(position AS DOUBLE) AS "index" FROM indexed'
     ),

@@ -342,7 +342,9 @@ def random_split(spark, sf):
 @_query
 def scaled_up_subscribers(spark, sf):
     source = tables.subscribers(spark, sf)
-    return sampling.scale_up(source, 4 * source.count())
+    scaled = sampling.scale_up(source, 4 * source.count())
+    charges = {c: F.round(c, 4) for c in NOISY_COLUMNS if c != "tenure"}
+    return scaled.withColumns(charges).select("customerID", "Contract", "Churn", *NOISY_COLUMNS, "row_id", "source_row")
 
 
 # --- encoding ------------------------------------------------------------------------------

@@ -19,7 +19,7 @@ def test_matches_sql(spark, sf_dir, connection, name):
     assert compare(QUERIES[name](spark, sf_dir), connection, ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", ["bernoulli_sample", "random_split", "partition_profile", "scaled_up_subscribers"])
+@pytest.mark.parametrize("name", ["bernoulli_sample", "random_split", "partition_profile"])
 def test_layout_dependent_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
