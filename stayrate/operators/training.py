@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -129,13 +127,8 @@ def cross_validate(train: DataFrame, estimator: Estimator, grid: list[dict], con
 
 
 def train_all(train: DataFrame, config: TrainingConfig) -> dict[str, CrossValidatorModel]:
-    """Search every model. The models fit side by side, so one's short jobs fill the other's gaps."""
-    search = candidates(config)
-    fit = inheritable_thread_target(train.sparkSession)(
-        lambda name: cross_validate(train, *search[name], config)
-    )
-    with ThreadPool(min(config.parallelism, len(search))) as pool:
-        return dict(zip(search, pool.map(fit, search)))
+    """Search every model, one after the other; grid points of one model fit side by side."""
+    return {name: cross_validate(train, est, grid, config) for name, (est, grid) in candidates(config).items()}
 
 
 def train_fixed(train: DataFrame, name: str, *, seed: int = 42) -> PipelineModel:
