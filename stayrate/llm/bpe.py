@@ -22,6 +22,7 @@ import json
 import mmap
 import re
 import struct
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,8 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from stayrate.llm.common import ranges, table
-from stayrate.sources.storage import scratch_path
+from stayrate.llm.common import ranges, shared_file, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LEXICON_WORDS = 65_536
@@ -337,14 +337,10 @@ def build_lexicon(docs: DataFrame, vocab: str, text: str = "text", lexicon_words
 
 
 def ship(spark: SparkSession, content: bytes) -> str:
-    """Write a file to the shared folder and have Spark copy it to every executor."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "lexicon"))
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = files.create(path)
-    out.write(bytearray(content))
-    out.close()
-    spark.sparkContext.addFile(files.makeQualified(path).toString())
-    return path.getName()
+    """Write the lexicon to the shared folder and have Spark copy it to every executor."""
+    name = f"lexicon-{uuid.uuid4().hex}"
+    spark.sparkContext.addFile(shared_file(spark, name, content))
+    return name
 
 
 def encode(docs: DataFrame, vocab: str | None = None, text: str = "text", lexicon: str | None = None) -> DataFrame:

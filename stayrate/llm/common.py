@@ -7,7 +7,11 @@ single text longer than a slice is its own slice.
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,35 @@ _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
+def shared_file(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a small file to the shared scratch folder; returns its full path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, name.partition(".")[0]) + "/" + name)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(bytearray(content))
+    out.close()
+    return files.makeQualified(path).toString()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark bring this package to Python workers, once in a session.
+
+    Only needed where it is not installed on the executors.
+    """
+    context = spark.sparkContext
+    if any(name.startswith("stayrate-") for name in context._python_includes):
+        return
+    root = Path(__file__).resolve().parent.parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, str(file.relative_to(root.parent)))
+    context.addPyFile(shared_file(spark, f"stayrate-{uuid.uuid4().hex[:8]}.zip", held.getvalue()))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder; readies the workers for the functions of this package."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -235,3 +267,43 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         current.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, limit: int) -> DataFrame:
+    """(text, label) of at most ``limit`` labelled documents outside the held-out fold.
+
+    The rows are those with the smallest hash of doc_id, so the sample is the same in every run. Only
+    their ids are broadcast: ``limit`` bounds it. Copies of a text with the same label count once.
+    """
+    ids = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .where(fold("doc_id", folds) != held_out)
+        .select("doc_id", F.col(label).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .limit(limit)
+    )
+    taught = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return taught.select("text", "label").dropDuplicates(["text", "label"])
+
+
+def logistic_fit(x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, scale and weights (the last one constant) of a logistic regression by Newton steps."""
+    mean, scale = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
+    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    w = np.zeros(z.shape[1])
+    if len(x) == 0:
+        return mean, scale, w
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        gradient = z.T @ (p - y) / len(y) + ridge * w
+        hessian = (z * (p * (1 - p))[:, None]).T @ z / len(y) + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, gradient)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return mean, scale, w
+
+
+def logistic_score(model: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
+    mean, scale, w = model
+    return 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
