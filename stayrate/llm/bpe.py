@@ -38,9 +38,11 @@ from stayrate.llm.common import ranges, shared_file, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LEXICON_WORDS = 65_536
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 COUNT_WORDS = 200_000
 
+_NEVER = 1 << 62
+
 #: Fixed value: the byte-level pretokenisation pattern, white space spelled out by its Unicode property.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -74,30 +76,24 @@ class Vocabulary:
         self.byte_ids = [0] * 256
         for symbol, byte in symbols.items():
             self.byte_ids[byte] = ids[symbol]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[tuple[int, int], int] = {}  # rank and joined id in one number
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[left], ids[right]] = (rank, ids[left + right])
+            self.merges[ids[left], ids[right]] = rank << 32 | ids[left + right]
         self.words = regex.compile(PATTERN)
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word: the pair of least rank is joined until none is left."""
         parts = [self.byte_ids[b] for b in word]
+        rank = self.merges.get
         while len(parts) > 1:
-            found = min((self.merges.get(pair, (1 << 60, 0)) for pair in zip(parts, parts[1:])), default=None)
-            if found is None or found[0] == 1 << 60:
+            ranks = [rank(pair, _NEVER) for pair in zip(parts, parts[1:])]
+            least = min(ranks)
+            if least == _NEVER:
                 break
-            rank, joined = found
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and self.merges.get((parts[i], parts[i + 1]), (-1, 0))[0] == rank:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+            i = ranks.index(least)
+            parts[i : i + 2] = [least & 0xFFFFFFFF]
         return parts
 
     def pretokens(self, text: str) -> list[str]:
@@ -216,6 +212,9 @@ def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
     return head + b"".join(numbers) + bytes(labels) + flags
 
 
+_BYTES = [bytes([b]) for b in range(256)]
+
+
 class Lexicon:
     """A compiled lexicon over a memory-mapped file (or bytes)."""
 
@@ -240,11 +239,10 @@ class Lexicon:
         """The packed 32-bit ids of a word, None when the automaton does not accept it."""
         state, number = 0, 0
         find, first, labels = self.buffer.find, self.first, self.labels
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], labels + first[state], labels + first[state + 1])
+        for byte in word:
+            arc = find(_BYTES[byte], labels + first[state], labels + first[state + 1]) - labels
             if arc < 0:
                 return None
-            arc -= labels
             number += self.outputs[arc]
             state = self.targets[arc]
         if not self.buffer[self.flags + state]:
@@ -257,6 +255,12 @@ def shipped_lexicon(name: str) -> Lexicon:
     return Lexicon.open(SparkFiles.get(name))
 
 
+@functools.lru_cache(maxsize=1)
+def shared_memo(vocab: str, lexicon: str) -> _Memo:
+    """One memo for all tasks that a worker runs."""
+    return _Memo(vocabulary(vocab), shipped_lexicon(lexicon))
+
+
 class _Memo(dict):
     """Packed ids by word: from the automaton, else by exact merging."""
 
@@ -351,8 +355,7 @@ def encode(docs: DataFrame, vocab: str | None = None, text: str = "text", lexico
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(vocab)
-        memo = _Memo(words, shipped_lexicon(lexicon))
+        words, memo = vocabulary(vocab), shared_memo(vocab, lexicon)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)

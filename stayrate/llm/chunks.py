@@ -3,8 +3,8 @@
 A gear hash rolls over the bytes of each text; a chunk ends where the hash is the least within
 ``REACH`` bytes on either side. Cuts depend only on the bytes around them, so an insertion moves the
 cuts near it and no others, and a passage is cut alike wherever it stands. Chunks are deduplicated by
-a 64-bit digest: the first holder (smallest doc_id, then place) keeps a chunk, all others repeat it.
-Consecutive chunks that occur elsewhere make a span; spans of at least ``MIN_BYTES`` count. A
+a 64-bit digest: the first text that holds a chunk (by doc_id) keeps it, all others repeat it.
+Consecutive chunks that other texts hold make a span; spans of at least ``MIN_BYTES`` count. A
 passage loses at most the two chunks that its ends cut, so with the defaults a repeated passage of
 50 words is found, and a repeated line is not.
 
@@ -14,7 +14,7 @@ texts are not. Removing spans joins the few numbers of each text back to it.
 
 Null and empty texts have no chunk. Rows equal in doc_id and text count as one row (they get the same
 spans and do not repeat each other); a null doc_id sorts first. Extra columns pass through
-``remove_repeats`` untouched. A passage that a text repeats within itself is a repeat like any other.
+``remove_repeats`` untouched. What a text repeats only within itself is left alone.
 """
 
 from __future__ import annotations
@@ -125,20 +125,19 @@ def chunk_blocks(docs: DataFrame, buckets: int, text: str = "text", reach: int =
             owner, start, length, digest = owner[order], start[order], length[order], digest[order]
             new = runs(digest)
             first = np.repeat(new, np.diff(np.append(new, len(digest))))
-            again = np.flatnonzero(first != np.arange(len(digest)))
-            # the same row given twice is no repeat
-            doc, txt = head["doc"], head["text"]
-            same = (doc[owner[again]] == doc[owner[again - 1]]) & (txt[owner[again]] == txt[owner[again - 1]]) & (start[again] == start[again - 1])
-            again = again[~same]
-            flags = np.zeros(len(again), FLAG)
+            # texts after the first one that holds a digest repeat it, whoever else does
+            doc, txt = head["doc"][owner], head["text"][owner]
+            again = (doc != doc[first]) | (txt != txt[first])
+            flags = np.zeros(int(again.sum()), FLAG)
             flags["start"], flags["length"] = start[again], length[again]
-            if len(again):
+            if len(flags):
                 told = _flag_rows(head, owner[again], flags)
                 yield told.set_column(0, "bucket", pa.array([-1 - b for b in told.column(0).to_pylist()], pa.int32()))
-            body = np.zeros(len(new), BODY)
-            body["digest"], body["start"], body["length"] = digest[new], start[new], length[new]
-            body["local"][np.searchsorted(new, first[again])] = 1
-            yield pack((digest[new] % np.uint64(buckets)).astype(np.int32), body, owner[new], head)
+            body = np.zeros(len(digest), BODY)
+            body["digest"], body["start"], body["length"] = digest, start, length
+            body["local"][first[again]] = 1
+            kept = ~again
+            yield pack((digest[kept] % np.uint64(buckets)).astype(np.int32), body[kept], owner[kept], head)
 
         for batch in batches:
             ids = np.asarray(batch.column(0).fill_null(_NULL_ID).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -160,7 +159,7 @@ def chunk_blocks(docs: DataFrame, buckets: int, text: str = "text", reach: int =
 
 
 def _judge(rows: pa.Table) -> pa.Table:
-    """Flags of the chunks of one bucket that occur more than once, packed by home."""
+    """Flags of the chunks of one bucket that several texts hold, packed by home."""
     if rows.num_rows and rows.column("bucket")[0].as_py() < 0:
         home = -1 - rows.column("bucket")[0].as_py()
         return rows.set_column(0, "bucket", pa.array([home] * rows.num_rows, pa.int32()))
@@ -170,15 +169,14 @@ def _judge(rows: pa.Table) -> pa.Table:
     doc, txt = heads["doc"][owner], heads["text"][owner]
     new = runs(body["digest"])
     count = np.diff(np.append(new, len(body)))
-    distinct = np.zeros(len(body), dtype=np.int64)
-    distinct[runs(body["digest"], doc, txt, body["start"])] = 1
-    several = np.add.reduceat(distinct, new) > 1 if len(new) else np.zeros(0, bool)
-    local = np.maximum.reduceat(body["local"], new) > 0 if len(new) else np.zeros(0, bool)
-    marked = np.flatnonzero(np.repeat(several | local, count))
-    first = np.repeat(new, count)[marked]
+    first = np.repeat(new, count)
+    own = (doc == doc[first]) & (txt == txt[first])
+    shared = np.zeros(len(body), bool)
+    if len(new):
+        shared = np.repeat(~np.logical_and.reduceat(own, new) | (np.maximum.reduceat(body["local"], new) > 0), count)
+    marked = np.flatnonzero(shared)
     flags = np.zeros(len(marked), FLAG)
-    flags["start"], flags["length"] = body["start"][marked], body["length"][marked]
-    flags["first"] = (doc[first] == doc[marked]) & (txt[first] == txt[marked]) & (body["start"][first] == body["start"][marked])
+    flags["start"], flags["length"], flags["first"] = body["start"][marked], body["length"][marked], own[marked]
     return pa.Table.from_batches([_flag_rows(heads, owner[marked], flags)])
 
 
