@@ -1,16 +1,68 @@
-"""The corpus pipeline: five stages over ``documents``, each on what the one before kept."""
+"""The corpus pipeline: five stages over ``documents``, each on what the one before kept.
+
+Quality classifier (rejected documents go), n-gram Jaccard join (one document of each group of
+near duplicates stays), substring dedup (repeated passages are cut out of all but their first holder),
+benchmark decontamination (documents that hold a benchmark item go), BPE encoding and decoding (adds token
+ids and the decoded text). All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stayrate.llm import bpe, chunks, decontaminate, jaccard, quality
 from stayrate.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of 0.3 or more."""
+    model = quality.learned(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, keep=tuple(docs.columns)).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: the one that names it.
+
+    Rows with a null doc_id cannot name a component and stay; of rows that repeat a doc_id one stays.
+    """
+    table(spark, sf_dir, "documents")  # readies the workers
+    named = jaccard.similar_components(docs)
+    ids = named.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document holds; n_chars follows the text."""
+    table(spark, sf_dir, "documents")
+    cut = chunks.remove_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with token_ids, decoded and n_tokens."""
+    table(spark, sf_dir, "documents")
+    return bpe.decode(bpe.encode(docs)).withColumn("n_tokens", F.size("token_ids").cast("long"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("jaccard", keep_one_of_similar),
+    ("substrings", cut_repeats),
+    ("decontamination", drop_leaks),
+    ("bpe", encode_and_decode),
+]
 
 #: The learned and iterative stages have no SQL form; tests compare the run with a brute-force one.
 ORACLE_SQL = None

@@ -307,3 +307,37 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float =
 def logistic_score(model: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
     mean, scale, w = model
     return 1 / (1 + np.exp(-np.clip(((x - mean) / scale) @ w[:-1] + w[-1], -30, 30)))
+
+
+NUMBERS = "block int, numbers binary"
+_BLOCK = 8192
+
+
+def number_blocks(values: np.ndarray) -> pa.RecordBatch:
+    """A task's table of numbers (fixed size) in blocks that can be added up apart from each other."""
+    flat = np.ascontiguousarray(values, dtype=np.float64).ravel()
+    parts = [flat[i : i + _BLOCK].tobytes() for i in range(0, len(flat), _BLOCK)]
+    return pa.RecordBatch.from_pydict({"block": pa.array(range(len(parts)), pa.int32()), "numbers": pa.array(parts, pa.binary())})
+
+
+def summed_blocks(blocks: DataFrame, size: int) -> np.ndarray:
+    """The sum of all tasks' tables, ``size`` numbers; only the sum comes to the driver.
+
+    Blocks are added in two rounds, first within salted groups, so that no task meets all of them.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = np.frombuffer(raw.as_buffer(), dtype=np.float64)
+                sums[block] = sums[block] + values if block in sums else values.copy()
+        yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "numbers": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
+
+    salted = blocks.withColumn("_salt", F.spark_partition_id() % 64).repartition("block", "_salt").drop("_salt")
+    rows = salted.mapInArrow(add, NUMBERS).repartition("block").mapInArrow(add, NUMBERS).toArrow()
+    total = np.zeros(size)
+    for block, raw in zip(rows.column("block").to_pylist(), rows.column("numbers")):
+        values = np.frombuffer(raw.as_buffer(), dtype=np.float64)
+        total[block * _BLOCK : block * _BLOCK + len(values)] += values
+    return total

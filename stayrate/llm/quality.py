@@ -26,7 +26,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from stayrate.llm.common import LOWER, NOT_SPACE, Words, fold, labelled_sample, mix, segment_sums, slices, table
+from stayrate.llm.common import (
+    LOWER,
+    NOT_SPACE,
+    NUMBERS,
+    Words,
+    fold,
+    labelled_sample,
+    mix,
+    number_blocks,
+    segment_sums,
+    slices,
+    summed_blocks,
+    table,
+)
 
 SAMPLE = 20_000
 THRESHOLD = 0.3
@@ -37,7 +50,6 @@ MARKS = 2  # non-zero places of an index vector
 WINDOW = 2
 HIDDEN = 32
 EPOCHS = 60
-BLOCK = 8192  # numbers of a table that travel together
 
 _ROWS = SPELLINGS + SHAPES
 
@@ -93,22 +105,6 @@ def _contexts(found: Words, rows: np.ndarray, seen: np.ndarray, places: np.ndarr
                 total += np.bincount(at, weights=signs[seen[other], k], minlength=len(total))
 
 
-def _sum_blocks(blocks: DataFrame) -> DataFrame:
-    """Sums of equal blocks of numbers: first within salted groups, then over the salts."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                values = np.frombuffer(raw, dtype=np.float64)
-                sums[block] = sums[block] + values if block in sums else values
-        yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "numbers": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
-
-    salted = blocks.repartition("block", (F.spark_partition_id() % 64))
-    once = salted.mapInArrow(add, blocks.schema)
-    return once.repartition("block").mapInArrow(add, blocks.schema)
-
-
 def context_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """A unit vector for each spelling and shape bucket (a table of fixed size)."""
     size = _ROWS * DIMENSIONS
@@ -121,16 +117,9 @@ def context_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
                 found, spelling, shape = rows_of(data, offsets)
                 _contexts(found, spelling, spelling, places, signs, total)
                 _contexts(found, shape, shape, places, signs, total)
-        blocks = [(i // BLOCK, total[i : i + BLOCK].tobytes()) for i in range(0, size, BLOCK)]
-        yield pa.RecordBatch.from_pydict({"block": pa.array([b for b, _ in blocks], pa.int32()), "numbers": pa.array([n for _, n in blocks], pa.binary())})
-
-    rows = _sum_blocks(docs.select(text).mapInArrow(count, "block int, numbers binary")).collect()
-    total = np.zeros(size)
-    for r in rows:  # one row a block
-        values = np.frombuffer(r["numbers"], dtype=np.float64)
-        total[r["block"] * BLOCK : r["block"] * BLOCK + len(values)] += values
-    table_ = total.reshape(_ROWS, DIMENSIONS)
-    # every row meets common words, so what all rows share is taken out
+        yield number_blocks(total)
+
+    table_ = summed_blocks(docs.select(text).mapInArrow(count, NUMBERS), size).reshape(_ROWS, DIMENSIONS)
     table_ = table_ / np.maximum(np.linalg.norm(table_, axis=1, keepdims=True), 1e-9)
     return table_.astype(np.float32)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayrate.llm.bpe import op5_bpe_round_trip
 from stayrate.llm.chat import op7_chat_format
 from stayrate.llm.chunks import op4_substring_dedup
+from stayrate.llm.decontaminate import op1_decontamination
 from stayrate.llm.jaccard import op3_ngram_jaccard
 from stayrate.llm.language import op10_language_id
 from stayrate.llm.licenses import op9_license_scan
@@ -17,6 +18,7 @@ from stayrate.llm.quality import op6_quality
 from stayrate.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_substring_dedup": op4_substring_dedup,
