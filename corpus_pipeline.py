@@ -22,7 +22,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.3 or more."""
     model = quality.learned(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, keep=tuple(docs.columns)).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(docs, model, keep=tuple(docs.columns), name="_quality")
+    return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

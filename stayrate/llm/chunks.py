@@ -233,9 +233,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYT
     names = docs.columns
     spans = stored(repeated_spans(docs, text, min_bytes, reach), "spans")
     cuts = spans.select(
-        F.col("doc_id").alias("_id"), "text_hash", F.filter("spans", lambda s: s["repeat"]).alias("_cuts")
-    ).where(F.size("_cuts") > 0)
-    joined = docs.join(cuts.groupBy("_id").agg(F.collect_list(F.struct("text_hash", "_cuts")).alias("_cuts")), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+        F.col("doc_id").alias("_repeat_id"), "text_hash", F.filter("spans", lambda s: s["repeat"]).alias("_repeat_cuts")
+    ).where(F.size("_repeat_cuts") > 0)
+    joined = docs.join(cuts.groupBy("_repeat_id").agg(F.collect_list(F.struct("text_hash", "_repeat_cuts")).alias("_repeat_cuts")), F.col("doc_id").cast("long").eqNullSafe(F.col("_repeat_id")), "left").drop("_repeat_id")
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYT
                 for entry in cut:
                     if entry["text_hash"] == own:
                         keep = np.ones(len(raw), dtype=bool)
-                        for s in entry["_cuts"]:
+                        for s in entry["_repeat_cuts"]:
                             a, b = s["start"], s["start"] + s["length"]
                             while a < b and data[a] & 0xC0 == 0x80:
                                 a += 1
@@ -264,7 +264,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYT
 
     schema = docs.schema
     schema[at].dataType = StringType()
-    return joined.select(*names, "_cuts").mapInArrow(run, schema)
+    return joined.select(*names, "_repeat_cuts").mapInArrow(run, schema)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

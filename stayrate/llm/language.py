@@ -125,10 +125,11 @@ def mixtures(like: np.ndarray, bounds: np.ndarray, max_set: int = MAX_SET, steps
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with lang_pred, score and languages (the set with its proportions)."""
+    """``keep`` columns with lang_pred, score and languages (the set with its proportions), which replace kept
+    columns so called."""
     names, table_ = model
     shared = docs.sparkSession.sparkContext.broadcast(table_)
-    kept = [c for c in keep]
+    kept = [c for c in keep if c not in ("lang_pred", "score", "languages")]
     set_type = pa.map_(pa.string(), pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

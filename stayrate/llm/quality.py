@@ -197,10 +197,12 @@ def fit(docs: DataFrame, taught: DataFrame, text: str = "text") -> tuple[np.ndar
     return vectors, Network(x, rows.column("label").to_numpy().astype(float))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, Network], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with score."""
+def score(
+    docs: DataFrame, model: tuple[np.ndarray, Network], text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """``keep`` columns with the score as ``name``, which takes the place of a kept column so called."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = list(keep)
+    kept = [c for c in keep if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, network = shared.value
@@ -208,9 +210,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], text: str = "text"
             for i, j, data, offsets in slices(batch.column(len(kept))):
                 value = network.score(document_vectors(data, offsets, vectors))
                 out = {c: batch.column(k).slice(i, j - i) for k, c in enumerate(kept)}
-                yield pa.RecordBatch.from_pydict(out | {"score": pa.array(value)})
+                yield pa.RecordBatch.from_pydict(out | {name: pa.array(value)})
 
-    schema = docs.select(*kept).schema.add("score", DoubleType())
+    schema = docs.select(*kept).schema.add(name, DoubleType())
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 

@@ -339,9 +339,9 @@ def fit(docs: DataFrame, taught: DataFrame, text: str = "text") -> ToxicityModel
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with restored text and score."""
+    """``keep`` columns with restored text and score, which replace kept columns so called."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = list(keep)
+    kept = [c for c in keep if c not in ("restored", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
