@@ -1,6 +1,6 @@
 """Exact Jaccard join of word shingles over a token-group matrix.
 
-Texts become sets of hashed 5-word shingles. Equal sets are one set from here on. A sketch (two
+Texts become sets of hashed 5-word shingles. Equal sets are one set from here on. A sketch (four
 minimum hashes) puts similar sets into the same group. The matrix has a row for each shingle and a
 column for each group: a cell is set when some member of the group has the shingle. For a set Q and a
 group G the matrix gives |Q ∩ union(G)|, which bounds the overlap of Q with every member of G; only
@@ -48,6 +48,7 @@ LOW = np.uint64(3 << 61)
 FREQUENT = 64
 BUCKET_BYTES = 14 << 20
 TASK_TOKENS = 1_000_000
+SKETCH = 4  # minimum hashes that members of a group share; fewer would group texts by a shared passage
 EXPAND = 2_000_000
 
 HEAD = np.dtype([("sid", "<i8"), ("gid", "<i8"), ("size", "<u4"), ("n", "<u4")])
@@ -87,8 +88,10 @@ def describe(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     """Size, identity, group and number of low shingles of each set."""
     size = np.diff(bounds)
     sid = mix(segment_sums(mix(values, 33), bounds) + size.astype(np.uint64), 34).view(np.int64)
-    one, two = (segment_min(mix(values, salt), bounds, 0) for salt in (35, 36))
-    gid = (mix(one ^ (two << np.uint64(1)), 37) >> np.uint64(1)).view(np.int64)
+    sketch = np.zeros(len(size), dtype=np.uint64)
+    for k in range(SKETCH):
+        sketch = mix(sketch + segment_min(mix(values, 40 + k), bounds, 0), 37)
+    gid = (sketch >> np.uint64(1)).view(np.int64)
     return size, sid, gid, segment_sums((values < LOW).astype(np.int64), bounds)
 
 
@@ -192,7 +195,8 @@ def _match(rows: pa.Table, frequent: int) -> pa.Table:
         first[cells] = True
         far = first[at] & (gid[at] != center)
         out.append(_rows(STAR, *_summed(gid[at][far], center[far], np.ones(int(far.sum()), np.int64))))
-        out.append(_rows(POST, sid[at], token[at].view(np.int64), counted[at]))
+        cell = first[at]
+        out.append(_rows(POST, gid[at][cell], token[at][cell].view(np.int64), counted[at][cell]))
 
     least, most = (f.reduceat(size, cells) if len(cells) else size for f in (np.minimum, np.maximum))
     cell_start = np.searchsorted(cells, new)
@@ -282,9 +286,12 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     cover = matches.where(f"kind = {COVER}").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("cover"))
     measured = reps.join(cover, "sid", "left").withColumn("cover", F.coalesce("cover", F.lit(0)))
     overlap = matches.where(f"kind = {OVERLAP}").groupBy(F.col("a").alias("sid"), F.col("b").alias("other")).agg(F.sum("n").alias("shared"))
+    limits = measured.groupBy(F.col("gid").alias("other")).agg(F.min("size").alias("_least"), F.max("cover").alias("_cover"))
+    # shared frequent shingles are at most what either side has of them; a larger partner asks for more
     open_ = stored(
         overlap.join(measured.select("sid", "gid", "size", "part", "cover"), "sid")
-        .where("4 * (shared + cover) >= 4 * part - size")
+        .join(limits, "other")
+        .where("4 * (shared + least(cover, _cover)) >= 4 * part - 4 * size + 3 * greatest(size, _least)")
         .select("sid", "gid", "other"),
         "qualifying",
     )
@@ -309,7 +316,8 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     between_hot = (
         stars.join(leaders, "gid").join(other, "other").join(reps.selectExpr("sid as leader", "part"), "leader").where("4 * n >= part").selectExpr("leader as a", "b")
     )
-    first = stored(compare(_pairs(to_leader.union(between).union(between_hot), reps), texts), "links")
+    asked_first = stored(_pairs(to_leader.union(between).union(between_hot), reps), "pairs")
+    first = stored(compare(asked_first, texts), "links")
     named = reps.join(components(first).withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     named = stored(named.select("sid", "gid", "component"), "families")
 
@@ -320,9 +328,15 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
         .where("_ca <> _cb")
         .selectExpr("sid as a", "b")
     )
-    posts = matches.where(f"kind = {POST}").selectExpr("a as sid", "b as token").join(covered, "sid", "left_semi").join(named.select("sid", "component"), "sid")
+    # frequent shingles of covered sets: by group first, and members only where components differ
+    covered_sets = named.join(covered, "sid", "left_semi")
+    cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token")
+    kinds = cells.join(covered_sets.select("gid", "component").distinct(), "gid")
+    mixed = kinds.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
+    posts = cells.join(mixed.select("token"), "token", "left_semi").join(covered_sets, "gid").select("token", "sid", "component")
     rest = opened_pairs.union(_across(named, "gid")).union(_across(posts, "token"))
-    second = stored(compare(_pairs(rest, reps), texts), "links")
+    new_pairs = _pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti")
+    second = stored(compare(new_pairs, texts), "links")
 
     linked = components(first.union(second)).withColumnRenamed("id", "sid")
     placed = reps.select("sid", "rep").join(linked, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
