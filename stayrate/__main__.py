@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from stayrate.operators.encoding import FeatureModel
 from stayrate.operators.training import TrainingConfig
+from stayrate.operators.sampling import hash_split
 from stayrate.plans import jobs
 from stayrate.schemas import TARGET_ROWS
+from stayrate.sources.readers import read_parquet
+from stayrate.sources.storage import remove_scratch
+
+
+def _add_split(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--split-key", default="customerID", help="rows with the same value fall on the same side")
+    job.add_argument("--null-keys", nargs="*", default=[], help="columns that tell rows with a NULL key apart")
+    job.add_argument("--seed", type=int, default=42)
+
+
+def _training(args: argparse.Namespace, **more) -> TrainingConfig:
+    return TrainingConfig(split_key=args.split_key, null_keys=tuple(args.null_keys), seed=args.seed, **more)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -33,18 +47,25 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--files", type=int, help="number of output files; default: one per partition")
     job.add_argument("--save-model", help="keep the learned averages and encoders here")
     job.add_argument("--use-model", help="use averages and encoders saved earlier")
+    job.add_argument("--extra", nargs="*", default=[], help="further columns to keep, such as source_row")
+    job.add_argument("--max-categories", type=int, help="fail when a column has more values; default: no bound")
+    job.add_argument("--fit-on-train", action="store_true", help="learn from the training side of the split only")
+    _add_split(job)
 
     job = commands.add_parser("train", help="cross-validated search of three classifiers")
     job.add_argument("--input", required=True)
     job.add_argument("--models", required=True)
-    job.add_argument("--fast", action="store_true")
-    job.add_argument("--sample-fraction", type=float, default=1.0)
+    job.add_argument("--fast", action="store_true", help="short search on a fifth of the rows")
+    job.add_argument("--sample-fraction", type=float, help="default: all rows, a fifth with --fast")
+    _add_split(job)
 
     job = commands.add_parser("evaluate", help="report, curves, thresholds, importances, summary")
     job.add_argument("--input", required=True)
     job.add_argument("--models", required=True)
     job.add_argument("--output", required=True)
     job.add_argument("--sample-fraction", type=float, default=1.0)
+    job.add_argument("--threshold-model", default="GBT", help="the model whose threshold is searched")
+    _add_split(job)
     job.add_argument("--all-rows", action="store_true", help="include the training rows")
     job.add_argument("--train-missing", action="store_true", help="train where no model is saved")
 
@@ -66,24 +87,40 @@ def main(argv: list[str] | None = None) -> None:
         jobs.ingest_job(spark, args.input, args.report, target_rows=args.target_rows).show(100, truncate=False)
     elif args.job == "features":
         earlier = FeatureModel.load(spark, args.use_model) if args.use_model else None
+        fit_on = None
+        if args.fit_on_train:
+            rows = read_parquet(spark, args.input)
+            fit_on, _ = hash_split(rows, args.split_key, seed=args.seed, null_keys=args.null_keys)
         jobs.feature_job(
-            spark, args.input, args.output, files=args.files, feature_model=earlier, save_model_to=args.save_model
+            spark,
+            args.input,
+            args.output,
+            files=args.files,
+            fit_on=fit_on,
+            feature_model=earlier,
+            save_model_to=args.save_model,
+            extra=tuple(args.extra),
+            max_categories=args.max_categories,
         ).show()
     elif args.job == "train":
-        config = TrainingConfig(fast=args.fast, sample_fraction=args.sample_fraction)
+        config = jobs.fast_training(base=_training(args)) if args.fast else _training(args)
+        if args.sample_fraction is not None:
+            config = replace(config, sample_fraction=args.sample_fraction)
         result = jobs.training_job(spark, args.input, args.models, config)
         result.cross_validation.show(truncate=False)
         result.report.show()
-        print(f"best by AUC: {result.best}")
+        print(f"best by AUC: {result.best}; rows without a usable label: {result.quarantined}")
     elif args.job == "evaluate":
         config = jobs.EvaluationConfig(
-            training=TrainingConfig(sample_fraction=args.sample_fraction),
+            training=_training(args, sample_fraction=args.sample_fraction),
+            threshold_model=args.threshold_model,
             holdout_only=not args.all_rows,
             train_missing=args.train_missing,
         )
         jobs.evaluation_job(spark, args.input, args.models, args.output, config).show(truncate=False)
     else:
-        jobs.scoring_job(spark, args.input, args.models, args.output, model_name=args.model, output_format=args.format)
+        jobs.scoring_job(spark, args.input, args.models, args.output, model_name=args.model, output_format=args.format).show()
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

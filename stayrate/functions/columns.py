@@ -95,7 +95,7 @@ def round_half_even(c: Column) -> Column:
 
 def subscriber_id(row_id: Column, chunk_rows: int) -> Column:
     """CUST-<chunk>-<row in chunk>, zero padded."""
-    chunk = F.floor(row_id / F.lit(chunk_rows)).cast("bigint")
+    chunk = F.call_function("div", row_id, F.lit(chunk_rows))
     return F.format_string("CUST-%04d-%06d", chunk, row_id % F.lit(chunk_rows))
 
 

@@ -1,38 +1,22 @@
-"""Joins that broadcast only what has been counted."""
+"""Joins of a table to one row for each group."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# 10,000 rows of a key and a few numbers are well under a megabyte.
-BROADCAST_ROWS = 10_000
+from stayrate.sources.storage import checkpointed
 
 
-def held_locally(small: DataFrame, *, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``small`` as a local relation when it has at most ``max_rows`` rows, else None.
-
-    Stops reading at the bound, so an unexpectedly large result never reaches the driver.
-    """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return small.sparkSession.createDataFrame(rows, small.schema)
+def fixed(groups: DataFrame) -> DataFrame:
+    """``groups`` as a written table: computed once, and of a size in bytes that the planner knows."""
+    return checkpointed(groups, "groups")
 
 
-def join_grouped(
-    facts: DataFrame, groups: DataFrame, key: str, *, max_rows: int = BROADCAST_ROWS, salts: int = 64
-) -> DataFrame:
-    """Inner join of a fact table to a table with one row per ``key``.
+def join_grouped(facts: DataFrame, groups: DataFrame, key: str, *, how: str = "inner") -> DataFrame:
+    """Join a fact table to a table with one row per ``key``, as it is and unsalted.
 
-    With few groups the group table is broadcast and the facts do not move. With many, both
-    sides shuffle on (key, salt): each group row is repeated once per salt and the facts of a
-    hot key spread over all salts. The salt is taken from the row itself, so repeated tasks agree
-    on it; exact copies of a row share one, and adaptive skew-join splitting covers those.
+    The planner decides by the groups' bytes: a small written table is broadcast and the facts do not
+    move; otherwise both sides shuffle on the key and adaptive execution splits the partitions of a
+    hot key, which the groups' single row of that key joins as often as needed.
     """
-    local = held_locally(groups, max_rows=max_rows)
-    if local is not None:
-        return facts.join(F.broadcast(local), key)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    salted_groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(salted_groups, [key, "_salt"]).drop("_salt")
+    return facts.join(groups, key, how)

@@ -1,12 +1,15 @@
 """Categorical encoding and vector assembly.
 
 Everything here is map-only once the category labels are known, and those come from one
-aggregation over all categorical columns.
+aggregation over all categorical columns. The number of categories is not bounded unless the caller
+asks for it: indices come from a distributed order, and only the fitted model, which holds every label
+by its nature, lives on the driver.
 
 The same vector can be built in two ways. ``fit_encoder`` and ``feature_assembler`` are the
 ``pyspark.ml`` stages. ``direct_features`` writes the slots as plain comparisons, which stay in
-generated code and are several times faster than passing 16 vectors per row between stages;
-feature stores use it unless the vector is too wide for that.
+generated code and are several times faster for narrow vectors than passing 16 vectors per row
+between stages. Both give the same compressed vectors with the same slot names, so which one a
+feature store used cannot be told from it.
 """
 
 from __future__ import annotations
@@ -17,23 +20,21 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.functions.columns import binarize_label
-from stayrate.operators.bounded import held_locally
+from stayrate.operators.bounded import fixed
 from stayrate.operators.cleaning import numeric_columns
-from stayrate.operators.features import add_tenure_bucket, contract_averages, engineer_features
+from stayrate.operators.features import add_tenure_bucket, engineer_features
+from stayrate.operators.ordering import number_rows
 from stayrate.schemas import CATEGORICAL_COLUMNS, METADATA_COLUMNS, NUMERIC_COLUMNS
 from stayrate.sources.readers import read_parquet
 from stayrate.sources.writers import write_parquet
 
-# Beyond this width comparing against every label costs more than looking the value up.
+# Up to this width comparing against every label is quicker than looking the value up.
 DIRECT_SLOTS = 256
 
-# An indexed column becomes one vector slot per category and its labels live on the driver.
-MAX_CATEGORIES = 1_000
-
 
 def category_counts(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """Rows per value of each column, in one pass: (column, value, count)."""
@@ -41,40 +42,52 @@ def category_counts(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) ->
     return df.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("column", "value").count()
 
 
+def check_categories(counts: DataFrame, max_categories: int | None) -> DataFrame:
+    """``counts``, failing when a column has more than ``max_categories`` values."""
+    if max_categories is not None:
+        wide = counts.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") > max_categories).orderBy("column").collect()
+        if wide:  # at most one row a column
+            told = ", ".join(f"{r['column']} ({r['n']})" for r in wide)
+            raise ValueError(f"more than {max_categories} categories in {told}; is one of them an identifier?")
+    return counts
+
+
 def category_indices(
-    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
 ) -> DataFrame:
-    """Index of each value: most frequent first, ties by name.
+    """Index of each value: most frequent first, ties by name; (column, value, count, index).
 
-    Stops at ``max_categories`` per column on average: an identifier passed as a category fails
-    here instead of flooding one task or the driver.
+    All columns are put in one distributed order, from which each column's start is taken off, so a
+    column with very many values is not one task.
     """
-    counts = held_locally(category_counts(df, columns), max_rows=max_categories * len(columns))
-    if counts is None:
-        raise ValueError(f"more than {max_categories} categories per column; is one of {columns} an identifier?")
-    order = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    return counts.withColumn("index", (F.row_number().over(order) - 1).cast("double"))
+    counts = check_categories(fixed(category_counts(df, columns)), max_categories)
+    ordered = fixed(number_rows(counts.withColumn("_rank", -F.col("count")), "column", "_rank", "value", name="_place"))
+    starts = ordered.groupBy("column").agg(F.min("_place").alias("_start"))  # one row a column
+    placed = ordered.join(F.broadcast(starts), "column")
+    return placed.select("column", "value", "count", (F.col("_place") - F.col("_start")).cast("double").alias("index"))
 
 
 def fit_indexers(
-    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
 ) -> list[StringIndexerModel]:
     """One indexer per column, all learned in one pass; unseen and NULL values get the extra last index."""
-    ranked = category_indices(df, columns, max_categories=max_categories).orderBy("index").collect()
+    ranked = category_indices(df, columns, max_categories=max_categories).orderBy("column", "index").collect()
+    labels: dict[str, list[str]] = {c: [] for c in columns}
+    for r in ranked:
+        labels[r["column"]].append(r["value"])
     return [
-        StringIndexerModel.from_labels(
-            [r["value"] for r in ranked if r["column"] == c], inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"
-        )
-        for c in columns
+        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns
     ]
 
 
-def fit_encoder(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) -> PipelineModel:
+def fit_encoder(
+    df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
+) -> PipelineModel:
     """Indexing and one-hot encoding into ``<column>_idx`` and ``<column>_ohe``.
 
     Each vector has one slot per category; an unseen or NULL value sets none of them.
     """
-    indexers = PipelineModel(fit_indexers(df, columns))
+    indexers = PipelineModel(fit_indexers(df, columns, max_categories=max_categories))
     encoder = OneHotEncoder(
         inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns], dropLast=True
     )
@@ -122,7 +135,10 @@ def direct_features(df: DataFrame, labels: Mapping[str, list[str]], numeric: lis
         "binary": [{"idx": i, "name": name} for i, name in enumerate(hot_names, len(numeric))],
     }
     metadata = {"ml_attr": {"attrs": attributes, "num_attrs": len(slots)}}
-    return df.withColumn("features", array_to_vector(F.array(*slots)).alias("features", metadata=metadata))
+    dense = df.withColumn("_dense", array_to_vector(F.array(*slots)))
+    # The assembler stores a vector in the smaller of its two forms, as it does for the stages.
+    assembled = VectorAssembler(inputCols=["_dense"], outputCol="features").transform(dense)
+    return assembled.drop("_dense").withMetadata("features", metadata)
 
 
 def store_columns(vectors: DataFrame, *, label: str = "Churn", extra: Sequence[str] = ()) -> DataFrame:
@@ -133,37 +149,56 @@ def store_columns(vectors: DataFrame, *, label: str = "Churn", extra: Sequence[s
     return vectors.withColumn("label", binarize_label(F.col(label))).select("features", "label", *METADATA_COLUMNS, *extra)
 
 
+def contract_totals(df: DataFrame) -> DataFrame:
+    """Contract, its average to the cent, and what the overall average is made of."""
+    charge = F.col("MonthlyCharges")
+    return df.filter("Contract IS NOT NULL").groupBy("Contract").agg(
+        F.round(F.avg(charge), 2).alias("avg_charge_by_contract"), F.sum(charge).alias("_total"), F.count(charge).alias("_n")
+    )
+
+
 @dataclass(frozen=True)
 class FeatureModel:
-    """What the feature step learns from data: contract averages and the category encoder."""
+    """What the feature step learns from data: contract averages and the category encoder.
+
+    ``averages`` has a row per learned contract; a contract that was not learned gets ``overall``.
+    """
 
     averages: DataFrame
     encoder: PipelineModel
+    overall: float | None = None
+
+    def usable(self, subscribers: DataFrame) -> DataFrame:
+        """The rows that get a vector: those with all numbers and a contract."""
+        # The derived numbers are missing exactly when one of these is.
+        return complete_rows(subscribers, ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "Contract"])
 
     def transform(self, subscribers: DataFrame, *, extra: Sequence[str] = ()) -> DataFrame:
         """The feature store of ``subscribers``. Rows with a missing number or contract drop out."""
-        # The derived numbers are missing exactly when one of these is.
-        rows = complete_rows(subscribers, ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"])
-        engineered = engineer_features(rows, complete_rows(self.averages, ["avg_charge_by_contract"]))
+        averages = self.averages.select("Contract", "avg_charge_by_contract")
+        engineered = engineer_features(self.usable(subscribers), averages, overall=self.overall)
+        engineered = complete_rows(engineered, ["avg_charge_by_contract"]) if self.overall is None else engineered
         labels = category_labels(self.encoder)
         if sum(map(len, labels.values())) <= DIRECT_SLOTS:
             return store_columns(direct_features(engineered, labels), extra=extra)
         return store_columns(feature_assembler().transform(self.encoder.transform(engineered)), extra=extra)
 
     def save(self, path: str) -> None:
-        write_parquet(self.averages, f"{path}/averages")
+        write_parquet(self.averages.withColumn("overall", F.lit(self.overall).cast("double")), f"{path}/averages")
         self.encoder.write().overwrite().save(f"{path}/encoder")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FeatureModel:
-        return FeatureModel(read_parquet(spark, f"{path}/averages"), PipelineModel.load(f"{path}/encoder"))
+        averages = read_parquet(spark, f"{path}/averages")
+        first = averages.select("overall").first() if "overall" in averages.columns else None
+        return FeatureModel(averages.drop("overall"), PipelineModel.load(f"{path}/encoder"), first and first["overall"])
 
 
-def fit_features(subscribers: DataFrame) -> FeatureModel:
+def fit_features(subscribers: DataFrame, *, max_categories: int | None = None) -> FeatureModel:
     """Learn the feature step. Pass training rows only to keep held-out rows out of it."""
-    averages = contract_averages(subscribers)
-    # A small result is kept as it is, so that later uses do not aggregate the table again.
-    averages = held_locally(averages) or averages
+    totals = fixed(contract_totals(subscribers))
+    overall = totals.agg(F.round(F.sum("_total") / F.nullif(F.sum("_n"), F.lit(0)), 2)).first()[0]
     # Rows without a contract have no average and do not get as far as the encoder.
     encoded_rows = subscribers.filter("Contract IS NOT NULL").transform(add_tenure_bucket)
-    return FeatureModel(averages, fit_encoder(encoded_rows))
+    encoder = fit_encoder(encoded_rows, max_categories=max_categories)
+    return FeatureModel(totals.drop("_total", "_n"), encoder, overall)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions import columns as C
-from stayrate.operators.bounded import join_grouped
+from stayrate.operators.bounded import fixed, join_grouped
 
 
 def add_tenure_bucket(df: DataFrame) -> DataFrame:
@@ -18,12 +18,16 @@ def contract_averages(df: DataFrame) -> DataFrame:
     return df.groupBy("Contract").agg(F.round(F.avg("MonthlyCharges"), 2).alias("avg_charge_by_contract"))
 
 
-def add_contract_average(df: DataFrame, averages: DataFrame | None = None) -> DataFrame:
+def add_contract_average(df: DataFrame, averages: DataFrame | None = None, *, overall: float | None = None) -> DataFrame:
     """Attach the contract average. Rows without a contract have none and drop out.
 
-    Pass ``averages`` taken from the training rows to keep held-out rows out of them.
+    Pass ``averages`` taken from the training rows to keep held-out rows out of them. A contract that
+    they do not know gets ``overall``; without one such rows keep a NULL average.
     """
-    joined = join_grouped(df, contract_averages(df) if averages is None else averages, "Contract")
+    known = fixed(contract_averages(df)) if averages is None else averages
+    joined = join_grouped(df.filter("Contract IS NOT NULL"), known, "Contract", how="left")
+    if overall is not None:
+        joined = joined.withColumn("avg_charge_by_contract", F.coalesce("avg_charge_by_contract", F.lit(float(overall))))
     return joined.select(*df.columns, "avg_charge_by_contract")
 
 
@@ -39,6 +43,7 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def engineer_features(df: DataFrame, averages: DataFrame | None = None) -> DataFrame:
+def engineer_features(df: DataFrame, averages: DataFrame | None = None, *, overall: float | None = None) -> DataFrame:
     """The whole relational feature step."""
-    return df.transform(add_tenure_bucket).transform(add_contract_average, averages).transform(add_derived_columns)
+    bucketed = df.transform(add_tenure_bucket)
+    return bucketed.transform(add_contract_average, averages, overall=overall).transform(add_derived_columns)

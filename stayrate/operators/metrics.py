@@ -1,5 +1,6 @@
 """Classification metrics from a confusion matrix, and the threshold sweep.
 
+Rates are over rows with a label of 0 or 1, here and in the sweep; ``unlabelled`` counts the others.
 Inputs carry ``label`` and ``prediction`` (0/1) or ``label`` and ``score``. ``by`` groups the
 result, so all models are measured in one pass over their stacked predictions.
 """
@@ -30,6 +31,11 @@ def confusion_matrix(predictions: DataFrame, *, by: Sequence[str] = ()) -> DataF
     )
 
 
+def unlabelled(predictions: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """Rows that no rate counts, because their label is neither 0 nor 1."""
+    return predictions.groupBy(*by).agg(F.count_if(~F.coalesce(F.col("label").isin(0, 1), F.lit(False))).alias("unlabelled"))
+
+
 def _f1(precision: Column, recall: Column) -> Column:
     return safe_ratio(2 * precision * recall, precision + recall)
 
@@ -63,7 +69,7 @@ def threshold_sweep(
     score = F.coalesce(nan_to_null(F.col("score").cast("double")), F.lit(float("-inf")))
     reached = sum((score >= F.lit(t)).cast("int") for t in ordered)
     reduced = scored.groupBy(*by, reached.alias("_reached")).agg(
-        F.count_if(F.col("label") == 1).alias("_pos"), F.count_if(F.col("label") == 0).alias("_neg"), F.count("*").alias("_rows")
+        F.count_if(F.col("label") == 1).alias("_pos"), F.count_if(F.col("label") == 0).alias("_neg")
     )
     expanded = reduced.select("*", F.posexplode(F.array(*map(F.lit, ordered))).alias("_step", "threshold"))
     hit = F.col("_step") < F.col("_reached")
@@ -76,7 +82,6 @@ def threshold_sweep(
         total("_neg", hit).alias("fp"),
         total("_pos", ~hit).alias("fn"),
         total("_neg", ~hit).alias("tn"),
-        F.sum("_rows").alias("_rows"),
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     rates = cells.select(
@@ -84,7 +89,7 @@ def threshold_sweep(
         "threshold",
         safe_ratio(tp, tp + fp).alias("precision"),
         safe_ratio(tp, tp + fn).alias("recall"),
-        safe_ratio(tp + tn, F.col("_rows")).alias("accuracy"),
+        safe_ratio(tp + tn, tn + fp + fn + tp).alias("accuracy"),
         "tp",
         "fp",
         "fn",

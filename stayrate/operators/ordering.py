@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from stayrate.sources.storage import checkpointed
 
 BLOCK = "_block"
-_TIE = "_tie"
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low 33 bits
+_COPIES = "_copies"
+_PIECE = 1_000
 
 
 def _by_range(df: DataFrame, order: Sequence[Column], blocks: int | None) -> DataFrame:
@@ -29,10 +29,10 @@ def _by_range(df: DataFrame, order: Sequence[Column], blocks: int | None) -> Dat
 
 
 def ordered_blocks(df: DataFrame, *order: Column, blocks: int | None = None) -> DataFrame:
-    """Range-partition by ``order`` and fix the block numbers in a checkpoint.
+    """Range-partition by ``order`` and fix the block numbers in a written table.
 
     Block borders come from a sample and may differ between runs. That moves rows between blocks
-    but not in the order, so results built on blocks do not depend on it. The checkpoint is what
+    but not in the order, so results built on blocks do not depend on it. The table is what
     makes one run's borders final: a recomputed task reads them back instead of sampling again.
     """
     ranged = _by_range(df, order, blocks)
@@ -42,26 +42,25 @@ def ordered_blocks(df: DataFrame, *order: Column, blocks: int | None = None) ->
 def number_rows(df: DataFrame, *keys: str, blocks: int | None = None, name: str = "row_index") -> DataFrame:
     """Consecutive row numbers from 0 in ``keys`` order.
 
-    Copies of one row are interchangeable, so the last sort key may split them over blocks: a
-    table in which a third of the rows are the same row still sorts evenly. That key is written
-    to storage before the shuffle, since a repeated task must not hand out other values.
+    Copies of one row are interchangeable, so they are counted first and numbered as a range: a table
+    in which a third of the rows are the same row sorts as evenly as its distinct rows do.
     """
     columns = df.columns
-    tagged = checkpointed(df.withColumn(_TIE, F.monotonically_increasing_id()))
-    order = [*(F.col(k) for k in keys), F.xxhash64(*columns), F.col(_TIE)]
-    ranged = _by_range(tagged, order, blocks).sortWithinPartitions(*order)
-    placed = checkpointed(
-        ranged.select(
-            *columns,
-            F.spark_partition_id().alias(BLOCK),
-            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_place"),
-        )
-    )
+    distinct = df.groupBy(*columns).agg(F.count("*").alias(_COPIES))
+    order = [*(F.col(k) for k in keys), F.xxhash64(*columns)]
+    placed = checkpointed(_by_range(distinct, order, blocks).withColumn(BLOCK, F.spark_partition_id()), "placed")
     # One row per block, so both the unpartitioned window and the broadcast are small.
     starts = (
         placed.groupBy(BLOCK)
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.sum(_COPIES).alias("_rows"))
         .withColumn("_start", F.sum("_rows").over(Window.orderBy(BLOCK)) - F.col("_rows"))
         .drop("_rows")
     )
-    return placed.join(F.broadcast(starts), BLOCK).withColumn(name, F.col("_start") + F.col("_place")).drop(BLOCK, "_start", "_place")
+    before = Window.partitionBy(BLOCK).orderBy(*order, *columns).rowsBetween(Window.unboundedPreceding, -1)
+    offset = placed.withColumn("_before", F.coalesce(F.sum(_COPIES).over(before), F.lit(0)))
+    first = offset.join(F.broadcast(starts), BLOCK).withColumn("_first", F.col("_start") + F.col("_before"))
+    # Two steps, so that not even the numbers of very many copies form one long array.
+    pieces = first.select(*columns, "_first", _COPIES, F.explode(F.sequence(F.lit(0), F.col(_COPIES) - 1, F.lit(_PIECE))).alias("_from"))
+    pieces = pieces.repartition("_first", "_from")  # the pieces of one row go to many tasks
+    upto = F.least(F.col("_from") + _PIECE, F.col(_COPIES)) - 1
+    return pieces.select(*columns, F.explode(F.sequence(F.col("_first") + F.col("_from"), F.col("_first") + upto)).alias(name))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from stayrate.schemas import SUBSCRIBER_TYPES
 
+# Checked columns.
 RANGE_COLUMNS = ["tenure", "MonthlyCharges", "TotalCharges"]
+# Checked columns.
 NON_NEGATIVE_COLUMNS = ["tenure", "MonthlyCharges"]
 
 
@@ -130,6 +132,12 @@ def issue_rows(issues: DataFrame) -> DataFrame:
     )
 
 
+def partition_rows(profile: DataFrame) -> DataFrame:
+    """The partition profile in the shape of the quality report."""
+    named = [F.struct(F.lit("partition").alias("check"), F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.lit(None).cast("boolean").alias("ok")) for c in profile.columns]
+    return profile.select(F.inline(F.array(*named)))
+
+
 def written_profile(stored: DataFrame) -> DataFrame:
     """Row, null and class counts of a feature store in one pass."""
     return stored.agg(

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions import columns as C
 from stayrate.functions.hashing import hash_bigint, hash_fraction_below, hash_normal
+from stayrate.operators.bounded import fixed
 from stayrate.operators.ordering import number_rows
 from stayrate.operators.quality import stddev_profile
 from stayrate.schemas import CHUNK_ROWS, NOISE_FACTOR, NOISY_COLUMNS
 
-# A seed table of this many subscriber rows is some tens of megabytes in memory.
-BROADCAST_SOURCE_ROWS = 100_000
+
+def key_text(key: str, null_keys: Sequence[str]) -> Column:
+    """The key as text. Rows with a NULL key are told apart by ``null_keys``; without any, one fails the job.
+
+    Hashing NULL like any other key would put all such rows on one side.
+    """
+    text = F.col(key).cast("string")
+    if not null_keys:
+        return F.coalesce(text, F.raise_error(F.lit(f"NULL in the key {key}: name null_keys columns")).cast("string"))
+    return F.coalesce(text, F.concat(F.lit("null:"), F.xxhash64(*null_keys).cast("string")))
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, *, seed: int = 42) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, fraction: float, *, seed: int = 42, null_keys: Sequence[str] = ()) -> DataFrame:
     """Repeatable sample without replacement."""
-    return df.filter(hash_fraction_below("sample", seed, F.col(key), fraction))
+    return df.filter(hash_fraction_below("sample", seed, key_text(key, null_keys), fraction))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, *, seed: int = 42) -> DataFrame:
@@ -25,16 +36,20 @@ def bernoulli_sample(df: DataFrame, fraction: float, *, seed: int = 42) -> DataF
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def with_split(df: DataFrame, key: str, *, train_fraction: float = 0.8, seed: int = 42) -> DataFrame:
+def with_split(
+    df: DataFrame, key: str, *, train_fraction: float = 0.8, seed: int = 42, null_keys: Sequence[str] = ()
+) -> DataFrame:
     """Add ``is_train``. Rows with the same key fall on the same side.
 
     Split scaled-up tables by ``source_row`` so that noisy copies of one row stay together.
     """
-    return df.withColumn("is_train", hash_fraction_below("split", seed, F.col(key), train_fraction))
+    return df.withColumn("is_train", hash_fraction_below("split", seed, key_text(key, null_keys), train_fraction))
 
 
-def hash_split(df: DataFrame, key: str, *, train_fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    split = with_split(df, key, train_fraction=train_fraction, seed=seed)
+def hash_split(
+    df: DataFrame, key: str, *, train_fraction: float = 0.8, seed: int = 42, null_keys: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    split = with_split(df, key, train_fraction=train_fraction, seed=seed, null_keys=null_keys)
     return split.filter("is_train").drop("is_train"), split.filter("NOT is_train").drop("is_train")
 
 
@@ -44,40 +59,37 @@ def random_split(df: DataFrame, *, train_fraction: float = 0.8, seed: int = 42)
     return train, test
 
 
-def with_fold(df: DataFrame, key: str, folds: int, *, seed: int = 42) -> DataFrame:
+def with_fold(df: DataFrame, key: str, folds: int, *, seed: int = 42, null_keys: Sequence[str] = ()) -> DataFrame:
     """Add the cross-validation ``fold`` of each row's key."""
-    return df.withColumn("fold", (hash_bigint("fold", seed, F.col(key)) % folds).cast("int"))
+    return df.withColumn("fold", (hash_bigint("fold", seed, key_text(key, null_keys)) % folds).cast("int"))
 
 
-def draw_rows(
-    numbered: DataFrame, rows: int, *, seed: int = 42, broadcast_rows: int = BROADCAST_SOURCE_ROWS
-) -> DataFrame:
+def draw_rows(numbered: DataFrame, rows: int, *, seed: int = 42) -> DataFrame:
     """``rows`` draws with replacement from a table numbered by ``source_row``.
 
-    The draws are generated on the executors; the source is broadcast when it is small and
-    joined by shuffle otherwise.
+    The draws are generated on the executors. The numbered source is a written table, so the planner
+    knows its bytes: it is broadcast below the session's broadcast threshold and shuffled beyond.
     """
+    numbered = fixed(numbered)
     size = numbered.count()
     if size == 0:
         raise ValueError("cannot draw from an empty table")
     draws = numbered.sparkSession.range(rows).select(
         F.col("id").alias("row_id"), (hash_bigint("draw", seed, F.col("id")) % size).alias("source_row")
     )
-    drawn = draws.join(F.broadcast(numbered) if size <= broadcast_rows else numbered.hint("merge"), "source_row")
+    drawn = draws.join(numbered, "source_row")
     columns = [c for c in numbered.columns if c != "source_row"]
     renamed = drawn.withColumn("customerID", C.subscriber_id(F.col("row_id"), CHUNK_ROWS))
     return renamed.select(*columns, "row_id", "source_row")
 
 
-def bootstrap_rows(
-    source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42, broadcast_rows: int = BROADCAST_SOURCE_ROWS
-) -> DataFrame:
+def bootstrap_rows(source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42) -> DataFrame:
     """Exactly ``rows`` draws with replacement, each with a new id.
 
     Adds ``row_id`` (0..rows-1) and ``source_row`` (which source row was drawn, in ``key`` order)
     and replaces ``customerID``.
     """
-    return draw_rows(number_rows(source, key, name="source_row"), rows, seed=seed, broadcast_rows=broadcast_rows)
+    return draw_rows(number_rows(source, key, name="source_row"), rows, seed=seed)
 
 
 def column_stddevs(df: DataFrame, columns: list[str] = NOISY_COLUMNS) -> dict[str, float]:
@@ -100,6 +112,6 @@ def add_noise(
 
 def scale_up(source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42) -> DataFrame:
     """Bootstrap plus noise: the scaled-up subscriber table. ``source`` is evaluated once."""
-    numbered = number_rows(source, key, name="source_row")
+    numbered = fixed(number_rows(source, key, name="source_row"))
     stddevs = column_stddevs(numbered, [c for c in NOISY_COLUMNS if c in source.columns])
     return draw_rows(numbered, rows, seed=seed).transform(add_noise, stddevs, seed=seed)

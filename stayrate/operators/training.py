@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -26,12 +27,17 @@ _ROW_KEY = "_row_key"
 
 @dataclass(frozen=True)
 class TrainingConfig:
-    """``fast`` shortens the search; ``sample_fraction`` applies before the split."""
+    """``fast`` shortens the search; ``sample_fraction`` applies before the split.
+
+    Rows with the same ``split_key`` fall on the same side; ``split_key=None`` splits by row content.
+    Rows whose key is NULL are told apart by the ``null_keys`` columns, and fail the job without any.
+    """
 
     fast: bool = False
     sample_fraction: float = 1.0
     train_fraction: float = 0.8
-    split_key: str = "customerID"
+    split_key: str | None = "customerID"
+    null_keys: tuple[str, ...] = ()
     seed: int = 42
     parallelism: int = 4
     models: tuple[str, ...] = tuple(MODEL_NAMES)
@@ -85,8 +91,10 @@ def model_inputs(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def keyed_rows(df: DataFrame, config: TrainingConfig) -> tuple[DataFrame, str]:
-    """The table and its split key; tables without the key column are split by row content."""
-    if config.split_key in df.columns:
+    """The table and its split key; a missing key column is an error."""
+    if config.split_key is not None:
+        if config.split_key not in df.columns:
+            raise ValueError(f"the table has no column {config.split_key!r} to split by (split_key=None splits by row content)")
         return df, config.split_key
     return df.withColumn(_ROW_KEY, F.xxhash64(*df.columns)), _ROW_KEY
 
@@ -96,7 +104,7 @@ def sample_rows(df: DataFrame, config: TrainingConfig) -> DataFrame:
     if config.sample_fraction >= 1.0:
         return df
     keyed, key = keyed_rows(df, config)
-    return hash_sample(keyed, key, config.sample_fraction, seed=config.seed).drop(_ROW_KEY)
+    return hash_sample(keyed, key, config.sample_fraction, seed=config.seed, null_keys=config.null_keys).drop(_ROW_KEY)
 
 
 def split_rows(df: DataFrame, config: TrainingConfig) -> tuple[DataFrame, DataFrame]:
@@ -105,8 +113,8 @@ def split_rows(df: DataFrame, config: TrainingConfig) -> tuple[DataFrame, DataFr
     The side of a row depends on its key only, not on the sample.
     """
     keyed, key = keyed_rows(sample_rows(df, config), config)
-    train, test = hash_split(keyed, key, train_fraction=config.train_fraction, seed=config.seed)
-    train = with_fold(train, key, config.folds, seed=config.seed)
+    train, test = hash_split(keyed, key, train_fraction=config.train_fraction, seed=config.seed, null_keys=config.null_keys)
+    train = with_fold(train, key, config.folds, seed=config.seed, null_keys=config.null_keys)
     return model_inputs(train.drop(_ROW_KEY), ("fold",)), test.drop(_ROW_KEY)
 
 
@@ -127,8 +135,16 @@ def cross_validate(train: DataFrame, estimator: Estimator, grid: list[dict], con
 
 
 def train_all(train: DataFrame, config: TrainingConfig) -> dict[str, CrossValidatorModel]:
-    """Search every model, one after the other; grid points of one model fit side by side."""
-    return {name: cross_validate(train, est, grid, config) for name, (est, grid) in candidates(config).items()}
+    """Search all models side by side, ``config.parallelism`` fits at a time over models and grid points.
+
+    The fits do not depend on each other; the driver holds models only, the rows stay in ``train``.
+    """
+    searches = candidates(config)
+    at_once = max(1, min(len(searches), config.parallelism))
+    each = replace(config, parallelism=max(1, config.parallelism // at_once))
+    with ThreadPoolExecutor(at_once) as pool:
+        fits = {name: pool.submit(cross_validate, train, est, grid, each) for name, (est, grid) in searches.items()}
+        return {name: fit.result() for name, fit in fits.items()}
 
 
 def train_fixed(train: DataFrame, name: str, *, seed: int = 42) -> PipelineModel:

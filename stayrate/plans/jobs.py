@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.operators import curves, importance, metrics, quality
-from stayrate.operators.cleaning import resolve_label
+from stayrate.operators.cleaning import resolve_label, usable_labels
 from stayrate.operators.encoding import FeatureModel, fit_features
 from stayrate.operators.sampling import scale_up
 from stayrate.operators.scoring import score_batch, stacked_predictions
@@ -58,8 +58,10 @@ def ingest_job(
 ) -> DataFrame:
     """Schema and data-quality report of a subscriber table, written as JSON when a path is given."""
     df = read_parquet(spark, table)
-    result = quality.quality_report(df, target_rows=target_rows).unionByName(
-        quality.issue_rows(quality.schema_issues(df))
+    result = (
+        quality.quality_report(df, target_rows=target_rows)
+        .unionByName(quality.issue_rows(quality.schema_issues(df)))
+        .unionByName(quality.partition_rows(quality.partition_profile(df)))
     )
     if report is None:
         return result
@@ -77,18 +79,30 @@ def feature_job(
     feature_model: FeatureModel | None = None,
     save_model_to: str | None = None,
     extra: tuple[str, ...] = (),
+    max_categories: int | None = None,
 ) -> DataFrame:
-    """Subscriber table to feature store; returns the counts of the written table.
+    """Subscriber table to feature store; returns the counts of the written table and of rows left out.
 
     The averages and encoders are learned from the whole table, from ``fit_on`` (training rows
     only), or taken from an earlier ``feature_model``. Save them to encode later months alike.
+    Rows without a contract or with a missing number get no vector; they are counted.
     """
     subscribers = read_parquet(spark, table)
-    model = feature_model or fit_features(subscribers if fit_on is None else fit_on)
+    model = feature_model or fit_features(subscribers if fit_on is None else fit_on, max_categories=max_categories)
     if save_model_to is not None:
         model.save(save_model_to)
     write_file_count(model.transform(subscribers, extra=extra), output, files=files)
-    return quality.check_written(spark.read.parquet(output))
+    written = quality.check_written(spark.read.parquet(output))
+    # One column. (``observe`` would count in passing, but a session that has observed something can no
+    # longer serialize the functions of a fitted pipeline.)
+    found = subscribers.agg(F.count("*").alias("rows_read"), F.count_if(F.col("Contract").isNull()).alias("skipped_contract")).first()
+    return written.withColumns(
+        {
+            "rows_read": F.lit(found["rows_read"]).cast("long"),
+            "skipped_contract": F.lit(found["skipped_contract"]).cast("long"),
+            "skipped_number": F.lit(found["rows_read"] - found["skipped_contract"]).cast("long") - F.col("row_count"),
+        }
+    )
 
 
 @dataclass(frozen=True)
@@ -97,13 +111,17 @@ class TrainingResult:
     report: DataFrame
     cross_validation: DataFrame
     best: str
+    #: rows whose label is neither 0 nor 1; no model saw them and no rate counts them
+    quarantined: int = 0
 
 
 def training_job(
     spark: SparkSession, features: str, model_root: str | None = None, config: TrainingConfig = TrainingConfig()
 ) -> TrainingResult:
     """Cross-validated search for each classifier, measured on held-out rows; saves the best of each."""
-    train, test = split_rows(resolve_label(read_parquet(spark, features)), config)
+    usable, unusable = usable_labels(resolve_label(read_parquet(spark, features)))
+    quarantined = unusable.count()
+    train, test = split_rows(usable, config)
     # Both are read many times; on disk they leave the memory to the learners' own caches.
     train = train.persist(StorageLevel.DISK_ONLY)
     predictions = None
@@ -120,7 +138,7 @@ def training_job(
         if predictions is not None:
             predictions.unpersist()
     best = metrics.best_model(report).first()["model"]
-    return TrainingResult(models, report, cv_table(fitted, spark), best)
+    return TrainingResult(models, report, cv_table(fitted, spark), best, quarantined)
 
 
 @dataclass(frozen=True)
@@ -142,10 +160,12 @@ def evaluation_job(
 ) -> DataFrame:
     """Measure the saved models and write report, curves, thresholds, importances and summary.
 
-    Below ``output``: report, roc_points, pr_points, areas, thresholds, importances, summary.
+    Below ``output``: report, roc_points, pr_points, areas, thresholds, importances, summary, and in
+    quarantined the number of rows whose label is neither 0 nor 1.
     Returns the one-row summary.
     """
-    table = resolve_label(read_parquet(spark, features))
+    table, unusable = usable_labels(resolve_label(read_parquet(spark, features)))
+    write_parquet(unusable.agg(F.count("*").alias("rows")), f"{output}/quarantined")
     names = config.training.models
     train, test = split_rows(table, config.training)
     train_rows = train.drop("fold") if config.train_missing else None
@@ -229,13 +249,19 @@ def scoring_job(
     *,
     model_name: str = "GBT",
     output_format: str = "parquet",
-) -> None:
-    """Score a monthly table with a saved model. One pass, no shuffle."""
+) -> DataFrame:
+    """Score a monthly table with a saved model. One pass, no shuffle.
+
+    Returns one row: rows read, scored and skipped (a missing number in a table without a vector).
+    """
     output_format = check_score_format(output_format)
     df = read_parquet(spark, table)
     write_scores(score_batch(load_model(spark, model_root, model_name), df), output, output_format=output_format)
+    written = spark.read.parquet(output) if output_format == "parquet" else spark.read.csv(output, header=True)
+    n, kept = df.count(), written.count()  # from the footers where the format has them
+    return spark.createDataFrame([(n, kept, n - kept)], "rows_read long, rows_scored long, rows_skipped long")
 
 
 def fast_training(sample_fraction: float = 0.2, base: TrainingConfig = TrainingConfig()) -> TrainingConfig:
-    """The short search on a sample."""
+    """The short search on a sample: what ``--fast`` means unless a fraction is given."""
     return replace(base, fast=True, sample_fraction=sample_fraction)

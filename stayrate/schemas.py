@@ -84,6 +84,11 @@ METADATA_COLUMNS = [
     "charge_per_month",
 ]
 
+# Column contracts of predictions and of score outputs; a None kind keeps the input's.
+PREDICTION_CONTRACT = {"label": "double", "prediction": "double", "probability": None}
+SCORE_CONTRACT = {"customerID": None, "prediction": "double", "churn_probability": None, "label": "double"}
+SCORE_OPTIONAL = ("customerID", "label")
+
 # Columns that receive noise when the table is scaled up.
 NOISY_COLUMNS = ["tenure", "MonthlyCharges", "TotalCharges"]
 NOISE_FACTOR = 0.05

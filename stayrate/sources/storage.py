@@ -5,17 +5,20 @@ Paths are resolved by Hadoop's file systems, so local, HDFS and object-store pat
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: dict[str, list[str]] = {}
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session, which has no other
-    machines to share with, gets a temporary folder when nothing is set.
+    A cluster names it in ``spark.checkpoint.dir``. Only a session whose executor is the driver's own
+    process (master ``local`` or ``local[...]``) gets a temporary folder when nothing is set.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -23,7 +26,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="stayrate-checkpoint-")
     context.setCheckpointDir(named)
@@ -32,13 +35,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table beside the checkpoints."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def checkpointed(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to reliable storage and cut its lineage there.
+
+    The table is Parquet, so later reads prune columns and the planner knows its size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this session. Frames that read them are then gone too."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stayrate.operators.metrics import THRESHOLDS
+from stayrate.operators.quality import RANGE_COLUMNS
 from stayrate.schemas import CATEGORICAL_COLUMNS, NOISE_FACTOR, NUMERIC_COLUMNS, SERVICE_COLUMNS, SUBSCRIBER_TYPES
 from stayrate.testbed.tables import SNAPSHOT
 
@@ -306,7 +307,12 @@ _REPORT = f"""
 nulls AS ({_NULLS}), negatives AS ({_NEGATIVES})
 SELECT 'row_count' AS "check", '*' AS "column", CAST(count(*) AS DOUBLE) AS value, count(*) = 2000000 AS ok FROM gappy
 UNION ALL SELECT 'null_count', "column", CAST(nulls AS DOUBLE), nulls = 0 FROM nulls
-UNION ALL SELECT 'negative_count', "column", CAST(negatives AS DOUBLE), negatives = 0 FROM negatives"""
+UNION ALL SELECT 'negative_count', "column", CAST(negatives AS DOUBLE), negatives = 0 FROM negatives
+""" + "".join(
+    f"UNION ALL SELECT '{bound}', '{c}', CAST({bound}({c}) AS DOUBLE), NULL FROM gappy\n" for c in RANGE_COLUMNS for bound in ("min", "max")
+) + f"""UNION ALL SELECT 'class_count', 'Churn=' || coalesce(CAST(Churn AS VARCHAR), 'NULL'), CAST(count(*) AS DOUBLE), NULL FROM gappy GROUP BY Churn
+UNION ALL SELECT 'class_pct', 'Churn=' || coalesce(CAST(Churn AS VARCHAR), 'NULL'),
+       {half_up('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM gappy) * 100', 2)}, NULL FROM gappy GROUP BY Churn"""
 
 
 def _noise(source: str, key: str) -> str:
@@ -446,7 +452,9 @@ FROM pairs LEFT JOIN indexed USING ("column", value) JOIN widths USING ("column"
     "written_validation": _with(
         f"{_GAPPY}, {_engineered('gappy')}",
         "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS null_features, CAST(0 AS BIGINT) AS null_labels, "
-        "count(*) FILTER (WHERE Churn IS DISTINCT FROM 1) AS label_0, count(*) FILTER (WHERE Churn = 1) AS label_1 "
+        "count(*) FILTER (WHERE Churn IS DISTINCT FROM 1) AS label_0, count(*) FILTER (WHERE Churn = 1) AS label_1, "
+        "(SELECT count(*) FROM gappy) AS rows_read, (SELECT count(*) FROM gappy WHERE Contract IS NULL) AS skipped_contract, "
+        "(SELECT count(*) FROM gappy WHERE Contract IS NOT NULL) - count(*) AS skipped_number "
         "FROM engineered WHERE tenure IS NOT NULL",
     ),
     "score_projection": _with(
@@ -460,3 +468,61 @@ FROM pairs LEFT JOIN indexed USING ("column", value) JOIN widths USING ("column"
         "score AS probability FROM scored",
     ),
 }
+
+# Held-out rows of the planted subscribers: those that the hash puts on the other side.
+_TRAIN = f"{_hash('split', 'customerID')} < {int(0.8 * 2**60)}"
+_HELD = f"""{_SUBSCRIBERS}, {_PLANTED.lstrip()},
+known AS (SELECT subscribers.* EXCLUDE (Churn), label FROM subscribers JOIN scored USING (customerID)),
+held AS (SELECT * FROM known WHERE NOT ({_TRAIN}))"""
+_PER_MODEL = "SELECT model, count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives"
+_MODELS = "(SELECT unnest(['LR', 'RF', 'GBT']) AS model)"
+_NUMBERS = ", ".join(f"'{c}'" for c in NUMERIC_COLUMNS)
+_CATEGORIES = ", ".join(f"'{c}'" for c in CATEGORICAL_COLUMNS)
+
+ORACLE |= {
+    "score_checks": _with(_HELD, f"SELECT model, customerID, label, true AS in_range, true AS consistent FROM held, {_MODELS}"),
+    "batch_predict_checks": _with(_HELD, "SELECT customerID, label, true AS in_range, true AS consistent FROM known"),
+    "vector_input_checks": _with(_HELD, "SELECT customerID, label, true AS in_range, true AS consistent FROM held"),
+    "bernoulli_sample_checks": "SELECT count(*) AS orders, CAST(1 AS BIGINT) AS most_copies, true AS size_fits FROM orders",
+    "random_split_checks": "SELECT o_orderkey, CAST(1 AS BIGINT) AS sides FROM orders",
+    "partition_profile_checks": 'SELECT count(*) AS "rows", true AS consistent FROM lineitem',
+    "cv_checks": "SELECT 'LR' AS model, CAST(4 AS BIGINT) AS points, CAST(1 AS BIGINT) AS best, true AS is_maximum, true AS differ",
+    "model_comparison_checks": _with(_HELD, f"{_PER_MODEL}, true AS in_range FROM held, {_MODELS} GROUP BY model"),
+    "evaluation_summary_checks": _with(_HELD, f"{_PER_MODEL}, true AS named FROM held, {_MODELS} GROUP BY model"),
+    "feature_importance_checks": _with(
+        f"""{_HELD},
+bucketed AS (SELECT *, {_BUCKET} AS tenure_bucket FROM known WHERE {_TRAIN}),
+pairs AS (SELECT "column", value FROM bucketed UNPIVOT (value FOR "column" IN ({', '.join(CATEGORICAL_COLUMNS)}))),
+counted AS (SELECT "column", value, count(*) AS n FROM pairs GROUP BY ALL),
+named AS (
+  SELECT row_number() OVER (ORDER BY list_position([{_CATEGORIES}], "column"), n DESC, value) + {len(NUMERIC_COLUMNS)} - 1 AS slot,
+         "column" || '_ohe_' || value AS feature
+  FROM counted
+  UNION ALL SELECT generate_subscripts([{_NUMBERS}], 1) - 1, unnest([{_NUMBERS}])
+)""",
+        "SELECT CAST(slot AS INTEGER) AS slot, feature, true AS shares FROM named",
+    ),
+    "binned_auc_checks": "SELECT unnest(['probability', 'rawPrediction']) AS ranked_by, true AS close, CAST(2 AS BIGINT) AS ways",
+    "label_accounts": _with(
+        _SUBSCRIBERS,
+        "SELECT count(*) FILTER (WHERE right(customerID, 1) NOT IN ('7', '8')) AS used, "
+        "count(*) FILTER (WHERE right(customerID, 1) = '8') AS missing, "
+        "count(*) FILTER (WHERE right(customerID, 1) = '7') AS quarantined FROM subscribers",
+    ),
+    "order_mean_join": "SELECT l_orderkey, l_linenumber, avg(l_quantity) OVER (PARTITION BY l_orderkey) AS mean_quantity FROM lineitem",
+    "schema_issues": _with(
+        _SUBSCRIBERS,
+        "SELECT issue, \"column\", count(*) AS affected_rows FROM subscribers, "
+        "(VALUES ('missing', 'gender'), ('mistyped', 'tenure'), ('unexpected', 'added')) AS t(issue, \"column\") GROUP BY ALL",
+    ),
+    "numeric_columns": _with(
+        _SUBSCRIBERS,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count({c}) AS \"values\" FROM subscribers"
+            for c in ("SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "Churn")
+        ),
+    ),
+    "positive_probability": _with(_PLANTED, "SELECT customerID, score AS churn_probability FROM scored"),
+    "score_parquet_round_trip": _with(_PLANTED, "SELECT customerID, label, score AS churn_probability FROM scored"),
+    "model_round_trip": "SELECT CAST(0 AS BIGINT) AS differing",
+}

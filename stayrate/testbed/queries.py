@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions import columns as C
 from stayrate.operators import curves, encoding, features, importance, metrics, quality, sampling, scoring, training
-from stayrate.operators.cleaning import resolve_label
+from stayrate.operators.bounded import join_grouped
+from stayrate.operators.cleaning import label_report, resolve_label
+from stayrate.operators.cleaning import numeric_columns as find_numeric
 from stayrate.plans import jobs
 from stayrate.schemas import CHUNK_ROWS, NOISE_FACTOR, NOISY_COLUMNS
 from stayrate.sources import readers
@@ -212,8 +216,7 @@ def stddev_profile(spark, sf):
 
 @_query
 def quality_report(spark, sf):
-    report = quality.quality_report(tables.gappy_subscribers(spark, sf), target_rows=2_000_000)
-    return report.filter(F.col("check").isin("row_count", "null_count", "negative_count"))
+    return quality.quality_report(tables.gappy_subscribers(spark, sf), target_rows=2_000_000)
 
 
 @_query
@@ -503,3 +506,160 @@ def load_saved(spark, model):
     root = scratch_path(spark, "saved")
     save_model(model, root, "LR")
     return load_model(spark, root, "LR")
+
+
+# --- what SQL can state about learned and layout-dependent results -------------------------
+
+
+def _checked(scores: DataFrame, *keep: str) -> DataFrame:
+    """The rows and labels of a score table, and whether each probability and prediction agree."""
+    p = F.col("churn_probability")
+    return scores.select(
+        *keep, "customerID", "label", p.between(0, 1).alias("in_range"), (F.col("prediction") == (p > 0.5).cast("double")).alias("consistent")
+    )
+
+
+@_query
+def score_checks(spark, sf):
+    train, test = sampling.hash_split(spark.read.parquet(_store(spark, sf)), "customerID")
+    models = {name: training.train_fixed(train, name) for name in ("LR", "RF", "GBT")}
+    stacked = scoring.stacked_predictions(models, test, keep=["customerID"])
+    return _checked(stacked.withColumnRenamed("score", "churn_probability"), "model")
+
+
+@_query
+def batch_predict_checks(spark, sf):
+    return _checked(batch_predict(spark, sf))
+
+
+@_query
+def vector_input_checks(spark, sf):
+    return _checked(vector_input_scores(spark, sf))
+
+
+@_query
+def bernoulli_sample_checks(spark, sf):
+    """Which orders a sample drew more than once or not from the table (none), and whether its size fits."""
+    orders = tables.table(spark, sf, "orders")
+    drawn = sampling.bernoulli_sample(orders, 0.1).groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    joined = orders.select("o_orderkey").join(drawn, "o_orderkey", "full_outer")
+    rows = F.count("*")
+    return joined.agg(
+        rows.alias("orders"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("most_copies"),
+        (F.count("n") / rows).between(0.05, 0.15).alias("size_fits"),
+    )
+
+
+@_query
+def random_split_checks(spark, sf):
+    return random_split(spark, sf).groupBy("o_orderkey").agg(F.count("*").alias("sides"))
+
+
+@_query
+def partition_profile_checks(spark, sf):
+    profile = partition_profile(spark, sf)
+    whole = F.abs(F.col("mean_rows") * F.col("partitions") - F.col("rows")) < 1e-6 * F.col("rows")
+    return profile.select("rows", (whole & (F.col("skew") >= 1)).alias("consistent"))
+
+
+@_query
+def cv_checks(spark, sf):
+    """Of each model: grid points, how many are best, whether the best has the highest mean, whether means differ."""
+    table = cv_metrics(spark, sf)
+    return table.groupBy("model").agg(
+        F.count("*").alias("points"),
+        F.count_if("is_best").alias("best"),
+        (F.max(F.when(F.col("is_best"), F.col("mean_auc"))) == F.max("mean_auc")).alias("is_maximum"),
+        (F.countDistinct("mean_auc") > 1).alias("differ"),
+    )
+
+
+@_query
+def model_comparison_checks(spark, sf):
+    report = model_comparison(spark, sf)
+    rates = ["auc", "f1", "accuracy", "precision_0", "recall_0", "precision_1", "recall_1"]
+    fine = reduce(and_, [F.col(c).between(0, 1) for c in rates])
+    return report.select("model", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"), fine.alias("in_range"))
+
+
+@_query
+def evaluation_summary_checks(spark, sf):
+    summary = evaluation_summary(spark, sf)
+    cells = [
+        F.struct(
+            F.lit(m).alias("model"),
+            (F.col(m).confusion_matrix[1][0] + F.col(m).confusion_matrix[1][1]).alias("positives"),
+            (F.col(m).confusion_matrix[0][0] + F.col(m).confusion_matrix[0][1]).alias("negatives"),
+        )
+        for m in ("LR", "RF", "GBT")
+    ]
+    named = F.col("best_model").isin("LR", "RF", "GBT") & (F.size("top_features") == 5) & F.col("best_threshold").between(0.2, 0.8)
+    return summary.select(F.inline(F.array(*cells)), named.alias("named"))
+
+
+@_query
+def feature_importance_checks(spark, sf):
+    """Slot and name of every feature, and whether the importances are shares of one."""
+    table = feature_importance(spark, sf)
+    whole = Window.partitionBy()  # one row per vector slot
+    shares = reduce(and_, [(F.min(m).over(whole) >= 0) & (F.abs(F.sum(m).over(whole) - 1) < 1e-6) for m in ("GBT", "RF")])
+    return table.select("slot", "feature", shares.alias("shares"))
+
+
+@_query
+def binned_auc_checks(spark, sf):
+    table = binned_auc(spark, sf)
+    return table.groupBy("ranked_by").agg((F.max("auc") - F.min("auc") < 0.01).alias("close"), F.count("*").alias("ways"))
+
+
+@_query
+def label_accounts(spark, sf):
+    """Labels that are used, missing and put aside: some are "maybe", some NULL."""
+    last = F.substring("customerID", -1, 1)
+    given = F.when(last == "7", "maybe").when(last != "8", F.when(F.col("Churn") == 1, "Yes").otherwise("No"))
+    return label_report(tables.subscribers(spark, sf).withColumn("Churn", given))
+
+
+@_query
+def order_mean_join(spark, sf):
+    """Many groups: every line beside the mean quantity of its order."""
+    lines = tables.table(spark, sf, "lineitem")
+    means = lines.groupBy("l_orderkey").agg(F.avg("l_quantity").alias("mean_quantity"))
+    return join_grouped(lines.select("l_orderkey", "l_linenumber"), means, "l_orderkey")
+
+
+@_query
+def schema_issues(spark, sf):
+    changed = tables.subscribers(spark, sf).drop("gender").withColumn("tenure", F.col("tenure").cast("string")).withColumn("added", F.lit(1))
+    return quality.schema_issues(changed).select("issue", "column", F.lit(changed.count()).cast("long").alias("affected_rows"))
+
+
+@_query
+def numeric_columns(spark, sf):
+    names = find_numeric(tables.subscribers(spark, sf).withColumn("label", F.col("Churn").cast("double")))
+    rows = tables.subscribers(spark, sf).agg(*(F.count(n).alias(n) for n in names))
+    return rows.select(F.inline(F.array(*(F.struct(F.lit(n).alias("column"), F.col(n).alias("values")) for n in names))))
+
+
+@_query
+def positive_probability(spark, sf):
+    vector = array_to_vector(F.array(F.lit(1.0) - F.col("score"), F.col("score")))
+    return tables.scored(spark, sf).select("customerID", C.positive_probability(vector).alias("churn_probability"))
+
+
+@_query
+def score_parquet_round_trip(spark, sf):
+    path = scratch_path(spark, "scores")
+    rows = tables.scored(spark, sf).select("customerID", "label", F.col("score").alias("churn_probability"))
+    write_scores(rows, path, output_format="parquet")
+    return spark.read.parquet(path)
+
+
+@_query
+def model_round_trip(spark, sf):
+    """Rows that a saved and reloaded model scores differently."""
+    train, test = sampling.hash_split(spark.read.parquet(_store(spark, sf)), "customerID")
+    model = training.train_fixed(train, "LR")
+    both = [scoring.score_batch(m, test) for m in (model, load_saved(spark, model))]
+    return both[0].exceptAll(both[1]).unionAll(both[1].exceptAll(both[0])).agg(F.count("*").alias("differing"))

@@ -37,6 +37,30 @@ def test_identifier_as_category_is_refused(spark):
         encoding.fit_indexers(df, ["v"], max_categories=20)
 
 
+def test_many_categories_in_one_column(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("v"), F.lit("x").alias("w"))
+    indices = encoding.category_indices(df, ["v", "w"])
+    row = indices.filter("column = 'v'").agg(F.count("*"), F.min("index"), F.max("index"), F.countDistinct("index")).first()
+    assert tuple(row) == (20_000, 0.0, 19_999.0, 20_000)
+    assert [tuple(r) for r in indices.filter("column = 'w'").collect()] == [("w", "x", 20_000, 0.0)]
+
+
+def test_bound_is_per_column(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("v"), (F.col("id") % 2).cast("string").alias("w"))
+    assert encoding.category_indices(df, ["v", "w"], max_categories=30).count() == 32
+    with pytest.raises(ValueError, match=r"v \(30\)"):
+        encoding.category_indices(df, ["v", "w"], max_categories=29)
+
+
+def test_unseen_contract_keeps_its_rows(spark, sf_dir, tmp_path):
+    subscribers = tables.subscribers(spark, sf_dir)
+    model = encoding.fit_features(subscribers.filter("Contract <> 'Two year'"))
+    model.save(str(tmp_path / "model"))
+    again = encoding.FeatureModel.load(spark, str(tmp_path / "model"))
+    assert model.transform(subscribers).count() == again.transform(subscribers).count() == subscribers.count()
+    assert again.overall == model.overall
+
+
 def test_store_layout_and_names_survive_parquet(spark, sf_dir, tmp_path):
     subscribers = tables.gappy_subscribers(spark, sf_dir)
     encoding.fit_features(subscribers).transform(subscribers).write.parquet(str(tmp_path / "store"))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from stayrate.operators import features
-from stayrate.operators.bounded import held_locally, join_grouped
+from stayrate.operators.bounded import fixed, join_grouped
 from stayrate.testbed import tables
 
 
@@ -18,19 +18,21 @@ def test_averages_can_come_from_training_rows(spark):
     assert joined.first()["avg_charge_by_contract"] == 10.0
 
 
-def test_held_locally_stops_at_the_bound(spark):
-    assert held_locally(spark.range(10), max_rows=10).count() == 10
-    assert held_locally(spark.range(11), max_rows=10) is None
+def test_unknown_contracts_get_the_overall_average(spark):
+    test = spark.createDataFrame([("a", 90.0), ("new", 1.0), (None, 2.0)], "Contract string, MonthlyCharges double")
+    averages = spark.createDataFrame([("a", 10.0)], "Contract string, avg_charge_by_contract double")
+    joined = features.add_contract_average(test, averages, overall=7.5)
+    assert sorted(tuple(r) for r in joined.collect()) == [("a", 90.0, 10.0), ("new", 1.0, 7.5)]
 
 
-def test_many_groups_join_by_salt_gives_the_same_rows(spark):
-    # One key holds a third of all rows.
-    facts = spark.range(3000).select("id", F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("key"))
+def test_many_groups_with_a_hot_key_join_completely(spark):
+    # One key holds a third of all rows; 12,000 groups.
+    facts = spark.range(18_000).select("id", F.when(F.col("id") < 6_000, 0).otherwise(F.col("id")).alias("key"))
     groups = facts.groupBy("key").agg(F.count("*").alias("n"))
-    small = join_grouped(facts, groups, "key").select("id", "key", "n")
-    large = join_grouped(facts, groups, "key", max_rows=10, salts=8).select("id", "key", "n")
-    assert small.count() == large.count() == 3000
-    assert small.exceptAll(large).count() == 0
+    for grouped in (groups, fixed(groups)):
+        joined = join_grouped(facts, grouped, "key")
+        row = joined.agg(F.count("*"), F.sum("n")).first()
+        assert tuple(row) == (18_000, 6_000 * 6_000 + 12_000)
 
 
 def test_same_result_for_any_partitioning(spark, sf_dir):
