@@ -268,8 +268,9 @@ def _across(members: DataFrame, key: str) -> DataFrame:
     largest = counts.groupBy(key).agg(F.max(F.struct("_n", "component"))["component"].alias("_largest"), F.count("*").alias("_several"))
     mixed = largest.where("_several > 1")
     few = members.join(mixed, key).where("component <> _largest").select(key, F.col("sid").alias("a"), F.col("component").alias("_ca"))
-    many = members.join(mixed.select(key), key, "left_semi").select(key, F.col("sid").alias("b"), F.col("component").alias("_cb"))
-    return few.join(many, key).where("_ca <> _cb").select("a", "b")
+    many = members.join(mixed, key).selectExpr(key, "sid as b", "component as _cb", "component <> _largest as _few")
+    met = few.join(many, key).where("_ca <> _cb and (not _few or a < b)")  # once for each key
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -334,7 +335,12 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     kinds = cells.join(covered_sets.select("gid", "component").distinct(), "gid")
     mixed = kinds.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
     posts = cells.join(mixed.select("token"), "token", "left_semi").join(covered_sets, "gid").select("token", "sid", "component")
-    rest = opened_pairs.union(_across(named, "gid")).union(_across(posts, "token"))
+    shared_hot = _across(posts, "token").groupBy("a", "b").agg(F.count("*").alias("_hot"))
+    one, two = (measured.selectExpr(f"sid as {c}", f"size as size_{c}", f"part - cover as rare_{c}", f"part as part_{c}") for c in ("a", "b"))
+    # what a pair may share: the frequent shingles that it does, all of its others, all that is not stored
+    enough = " and ".join(f"4 * (_hot + rare_{c}) >= 4 * part_{c} - 4 * size_{c} + 3 * greatest(size_a, size_b)" for c in ("a", "b"))
+    covered_pairs = shared_hot.join(one, "a").join(two, "b").where(enough).select("a", "b")
+    rest = opened_pairs.union(_across(named, "gid")).union(covered_pairs)
     new_pairs = _pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti")
     second = stored(compare(new_pairs, texts), "links")
 
