@@ -120,7 +120,9 @@ def test_importances_carry_the_right_names(spark, models, store):
 
 def test_split_without_a_key_column(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("label"))
-    train, test = training.split_rows(df, training.TrainingConfig())
+    with pytest.raises(ValueError, match="customerID"):
+        training.split_rows(df, training.TrainingConfig())
+    train, test = training.split_rows(df, training.TrainingConfig(split_key=None))
     assert train.columns == ["x", "label", "fold"] and test.columns == ["x", "label"]
     assert train.count() + test.count() == 1000 and 700 < train.count() < 900
 
