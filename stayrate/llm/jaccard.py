@@ -14,7 +14,7 @@ What keeps this exact and small:
   of frequent passages ordered last and the others by hash, the stored part holds that quarter.
 * **Frequent shingles.** A shingle in more than ``FREQUENT`` groups is not expanded; the bound counts
   it as shared. A set whose stored part has too few other shingles to be found without them is
-  "covered": covered sets are compared among themselves by the frequent shingles too.
+  "covered": covered sets are compared among themselves by their rarest frequent shingles too.
 * **Families.** Members are first compared with their group's leader, and leaders with each other.
   Afterwards only pairs from different components are opened, so thousands of near copies cost
   thousands of comparisons, not millions. Only components are wanted, so no link between components
@@ -22,7 +22,7 @@ What keeps this exact and small:
 
 Comparisons are made on whole texts. Equality of shingles is equality of 64-bit hashes. What can
 grow with the square of a group's size is the comparison of many *unlike* covered sets that share the
-same frequent passage over three quarters of their text: then they are alike, or differ in that quarter.
+same frequent passages over six sevenths of their text and still differ in the rest.
 
 Null and empty texts, and texts without words, have the empty set and link with nothing. With fewer
 than five words the whole sequence is the only shingle. Repeated rows and ties are equal sets; a null
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.llm.blocks import BLOCK_SCHEMA, bucket_count, corpus_bytes, pack, runs, unpack
@@ -196,7 +196,7 @@ def _match(rows: pa.Table, frequent: int) -> pa.Table:
         far = first[at] & (gid[at] != center)
         out.append(_rows(STAR, *_summed(gid[at][far], center[far], np.ones(int(far.sum()), np.int64))))
         cell = first[at]
-        out.append(_rows(POST, gid[at][cell], token[at][cell].view(np.int64), counted[at][cell]))
+        out.append(_rows(POST, gid[at][cell], token[at][cell].view(np.int64), np.repeat(columns[hot], entries[hot])[cell]))
 
     least, most = (f.reduceat(size, cells) if len(cells) else size for f in (np.minimum, np.maximum))
     cell_start = np.searchsorted(cells, new)
@@ -273,6 +273,50 @@ def _across(members: DataFrame, key: str) -> DataFrame:
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
+def _frequent_pairs(matches: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of covered sets from different components that frequent shingles alone may link.
+
+    members: sid, gid, component, size, part of the covered sets. A pair that shares some other stored
+    shingle is opened by its overlap already, so here all shingles of a set that are not frequent count
+    as unshared. Two sets of sizes s <= l are similar when they share 3/7 of s + l, so s has at most s/7
+    unshared shingles and l at most l/4. In one order of the frequent shingles, rarest first, the pair
+    meets in what remains of these numbers on either side, plus one. Sets up to ``WHOLE`` are ordered with
+    all of their shingles, pairs with a larger set by the low ones. Lists are kept for each family, the
+    members of a group that lie in one component.
+    """
+    kinds = members.selectExpr("*", f"explode(filter(array(if(size <= {WHOLE}, false, null), if(size >= {PART}, true, null)), x -> x is not null)) as low")
+    kinds = kinds.withColumn("part", F.expr("if(low, part, size)"))
+    family = ["gid", "component", "low"]
+    families = kinds.groupBy(*family).agg(
+        F.min(F.expr("part - size div 7")).alias("_as_small"), F.min(F.expr("part - size div 4")).alias("_as_large"), F.min("size").alias("least"), F.max("size").alias("most")
+    )
+    cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token", "n as columns")
+    placed = cells.join(families.select(*family), "gid").where(f"not low or token >= {1 << 39}")
+    counts = placed.groupBy("token", "low", "component").agg(F.count("*").alias("_n"))
+    largest = counts.groupBy("token", "low").agg(F.max(F.struct("_n", "component"))["component"].alias("_largest"), F.count("*").alias("_several"))
+    mixed = placed.join(largest.where("_several > 1").drop("_several"), ["token", "low"])
+    inside = Window.partitionBy(*family)
+    ranked = mixed.withColumn("place", F.row_number().over(inside.orderBy("columns", "token"))).withColumn("all", F.count("*").over(inside)).join(families, family)
+    posts = stored(
+        ranked.where("place <= all + 1 - _as_large").selectExpr(*family, "token", "place", "all", "least", "most", "component = _largest as top", "place <= all + 1 - _as_small as small"), "posts"
+    )
+
+    def side(suffix: str, where: str) -> DataFrame:
+        return posts.where(where).select("token", "low", *(F.col(c).alias(c + suffix) for c in ("gid", "component", "place", "all", "least", "most", "top")))
+
+    # one side of each join leaves out the shingle's largest component
+    met = [side("_s", f"small and {one}").join(side("_l", other), ["token", "low"]) for one, other in (("not top", "true"), ("top", "not top"))]
+    both = met[0].union(met[1]).where("component_s <> component_l and least_s <= most_l and 3 * least_l <= 4 * most_s")
+    shared = both.groupBy("low", "gid_s", "component_s", "gid_l", "component_l").agg(
+        F.expr("count(*) + least(max(all_s) - max(place_s), max(all_l) - max(place_l))").alias("shared")
+    )
+    one, two = (kinds.selectExpr("low", *(f"{c} as {c}_{x}" for c in ("gid", "component", "sid", "size", "part"))) for x in ("s", "l"))
+    pairs = shared.join(one, ["low", "gid_s", "component_s"]).join(two, ["low", "gid_l", "component_l"])
+    return pairs.where(
+        f"size_s <= size_l and (not low or size_l > {WHOLE}) and 7 * (shared + least(size_s - part_s, size_l - part_l)) >= 3 * (size_s + size_l)"
+    ).selectExpr("sid_s as a", "sid_l as b")
+
+
 def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     buckets = bucket_count(corpus_bytes(docs, text), BUCKET_BYTES)
@@ -288,11 +332,11 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     measured = reps.join(cover, "sid", "left").withColumn("cover", F.coalesce("cover", F.lit(0)))
     overlap = matches.where(f"kind = {OVERLAP}").groupBy(F.col("a").alias("sid"), F.col("b").alias("other")).agg(F.sum("n").alias("shared"))
     limits = measured.groupBy(F.col("gid").alias("other")).agg(F.min("size").alias("_least"), F.max("cover").alias("_cover"))
-    # shared frequent shingles are at most what either side has of them; a larger partner asks for more
+    # similar sets share 3/7 of their sizes' sum; shared frequent shingles are at most what either side has
     open_ = stored(
         overlap.join(measured.select("sid", "gid", "size", "part", "cover"), "sid")
         .join(limits, "other")
-        .where("4 * (shared + least(cover, _cover)) >= 4 * part - 4 * size + 3 * greatest(size, _least)")
+        .where("28 * (shared + least(cover, _cover) + size - part) >= 12 * size + 3 * greatest(3 * size, 4 * _least)")
         .select("sid", "gid", "other"),
         "qualifying",
     )
@@ -329,17 +373,7 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
         .where("_ca <> _cb")
         .selectExpr("sid as a", "b")
     )
-    # frequent shingles of covered sets: by group first, and members only where components differ
-    covered_sets = named.join(covered, "sid", "left_semi")
-    cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token")
-    kinds = cells.join(covered_sets.select("gid", "component").distinct(), "gid")
-    mixed = kinds.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
-    posts = cells.join(mixed.select("token"), "token", "left_semi").join(covered_sets, "gid").select("token", "sid", "component")
-    shared_hot = _across(posts, "token").groupBy("a", "b").agg(F.count("*").alias("_hot"))
-    one, two = (measured.selectExpr(f"sid as {c}", f"size as size_{c}", f"part - cover as rare_{c}", f"part as part_{c}") for c in ("a", "b"))
-    # what a pair may share: the frequent shingles that it does, all of its others, all that is not stored
-    enough = " and ".join(f"4 * (_hot + rare_{c}) >= 4 * part_{c} - 4 * size_{c} + 3 * greatest(size_a, size_b)" for c in ("a", "b"))
-    covered_pairs = shared_hot.join(one, "a").join(two, "b").where(enough).select("a", "b")
+    covered_pairs = _frequent_pairs(matches, named.join(measured.join(covered, "sid", "left_semi").select("sid", "size", "part"), "sid"))
     rest = opened_pairs.union(_across(named, "gid")).union(covered_pairs)
     new_pairs = _pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti")
     second = stored(compare(new_pairs, texts), "links")

@@ -79,6 +79,22 @@ def test_a_large_family_beside_strangers_with_its_passage(documents):
     assert found(documents(rows), frequent=8) == brute_force(rows)
 
 
+@pytest.mark.parametrize("length", [30, 290, 330, 400, 440])
+def test_texts_that_are_almost_all_shared_passages(documents, length):
+    """Around the sizes from which shingles are stored in part; unlike texts share most of their words."""
+    draw = random.Random(length)
+    passages = [[f"p{k}w{j}" for j in range(length // 5)] for k in range(6)]
+    rows = []
+    for k in range(70):
+        text = [w for p in draw.sample(passages, 5) for w in p]
+        if draw.random() < 0.5:
+            text = [w for p in passages[:5] for w in p]
+        own = [f"own{k}x{j}" for j in range(draw.choice((0, 0, length // 12, length // 8, length // 5, length // 3)))]
+        cut = draw.randint(0, length // 6)
+        rows.append((k, " ".join((text + own)[cut:])))
+    assert found(documents(rows), frequent=4) == brute_force(rows)
+
+
 def test_empty_table(documents):
     assert found(documents([])) == []
 
