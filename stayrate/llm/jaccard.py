@@ -288,28 +288,43 @@ def _frequent_pairs(matches: DataFrame, members: DataFrame) -> DataFrame:
     kinds = kinds.withColumn("part", F.expr("if(low, part, size)"))
     family = ["gid", "component", "low"]
     families = kinds.groupBy(*family).agg(
-        F.min(F.expr("part - size div 7")).alias("_as_small"), F.min(F.expr("part - size div 4")).alias("_as_large"), F.min("size").alias("least"), F.max("size").alias("most")
+        F.min(F.expr("part - size div 7")).alias("_as_small"),
+        F.min(F.expr("part - size div 4")).alias("_as_large"),
+        F.min("size").alias("least"),
+        F.max("size").alias("most"),
+        F.max(F.expr("size - part")).alias("spare"),
     )
-    cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token", "n as columns")
+    cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token")
     placed = cells.join(families.select(*family), "gid").where(f"not low or token >= {1 << 39}")
-    counts = placed.groupBy("token", "low", "component").agg(F.count("*").alias("_n"))
-    largest = counts.groupBy("token", "low").agg(F.max(F.struct("_n", "component"))["component"].alias("_largest"), F.count("*").alias("_several"))
-    mixed = placed.join(largest.where("_several > 1").drop("_several"), ["token", "low"])
+    # shingles of one passage stand in the same families: they are one class, with their number as weight
+    lists = placed.groupBy("token", "low").agg(F.count("*").alias("width"), F.bit_xor(F.xxhash64("gid", "component")).alias("_x"), F.bit_xor(F.xxhash64("component", F.lit(1), "gid")).alias("_y"))
+    lists = lists.select("token", "low", "width", F.xxhash64("low", "width", "_x", "_y").alias("class"))
+    weighed = placed.join(lists, ["token", "low"]).groupBy(*family, "class", "width").agg(F.count("*").alias("weight"))
+    counts = weighed.groupBy("class", "component").agg(F.count("*").alias("_n"))
+    largest = counts.groupBy("class").agg(F.max(F.struct("_n", "component"))["component"].alias("_largest"), F.count("*").alias("_several"))
+    mixed = weighed.join(largest.where("_several > 1").drop("_several"), "class")
     inside = Window.partitionBy(*family)
-    ranked = mixed.withColumn("place", F.row_number().over(inside.orderBy("columns", "token"))).withColumn("all", F.count("*").over(inside)).join(families, family)
+    ranked = mixed.withColumn("place", F.sum("weight").over(inside.orderBy("width", "class"))).withColumn("all", F.sum("weight").over(inside)).join(families, family)
+    ranked = ranked.withColumn("_from", F.expr("place - weight"))  # a class is listed if any shingle of it is
     posts = stored(
-        ranked.where("place <= all + 1 - _as_large").selectExpr(*family, "token", "place", "all", "least", "most", "component = _largest as top", "place <= all + 1 - _as_small as small"), "posts"
+        ranked.where("_from < all + 1 - _as_large").selectExpr(
+            *family, "class", "weight", "place", "all", "least", "most", "spare", "component = _largest as top", "_from < all + 1 - _as_small as small"
+        ),
+        "posts",
     )
 
     def side(suffix: str, where: str) -> DataFrame:
-        return posts.where(where).select("token", "low", *(F.col(c).alias(c + suffix) for c in ("gid", "component", "place", "all", "least", "most", "top")))
+        return posts.where(where).select("class", "low", *(F.col(c).alias(c + suffix) for c in ("gid", "component", "weight", "place", "all", "least", "most", "spare")))
 
-    # one side of each join leaves out the shingle's largest component
-    met = [side("_s", f"small and {one}").join(side("_l", other), ["token", "low"]) for one, other in (("not top", "true"), ("top", "not top"))]
+    # one side of each join leaves out the largest component of the class
+    met = [side("_s", f"small and {one}").join(side("_l", other), ["class", "low"]) for one, other in (("not top", "true"), ("top", "not top"))]
     both = met[0].union(met[1]).where("component_s <> component_l and least_s <= most_l and 3 * least_l <= 4 * most_s")
     shared = both.groupBy("low", "gid_s", "component_s", "gid_l", "component_l").agg(
-        F.expr("count(*) + least(max(all_s) - max(place_s), max(all_l) - max(place_l))").alias("shared")
+        F.expr("sum(weight_s) + least(max(all_s) - max(place_s), max(all_l) - max(place_l))").alias("shared"),
+        *(F.max(c).alias(c) for c in ("least_s", "least_l", "spare_s", "spare_l")),
     )
+    shared = shared.where("7 * (shared + least(spare_s, spare_l)) >= 3 * (least_s + greatest(least_s, least_l))")
+    shared = shared.select("low", "gid_s", "component_s", "gid_l", "component_l", "shared")
     one, two = (kinds.selectExpr("low", *(f"{c} as {c}_{x}" for c in ("gid", "component", "sid", "size", "part"))) for x in ("s", "l"))
     pairs = shared.join(one, ["low", "gid_s", "component_s"]).join(two, ["low", "gid_l", "component_l"])
     return pairs.where(
@@ -329,7 +344,7 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     groups = reps.groupBy("gid").agg(F.min("sid").alias("leader"), F.count("*").alias("members"))
 
     cover = matches.where(f"kind = {COVER}").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("cover"))
-    measured = reps.join(cover, "sid", "left").withColumn("cover", F.coalesce("cover", F.lit(0)))
+    measured = stored(reps.join(cover, "sid", "left").withColumn("cover", F.coalesce("cover", F.lit(0))), "measured")
     overlap = matches.where(f"kind = {OVERLAP}").groupBy(F.col("a").alias("sid"), F.col("b").alias("other")).agg(F.sum("n").alias("shared"))
     limits = measured.groupBy(F.col("gid").alias("other")).agg(F.min("size").alias("_least"), F.max("cover").alias("_cover"))
     # similar sets share 3/7 of their sizes' sum; shared frequent shingles are at most what either side has
@@ -337,7 +352,7 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
         overlap.join(measured.select("sid", "gid", "size", "part", "cover"), "sid")
         .join(limits, "other")
         .where("28 * (shared + least(cover, _cover) + size - part) >= 12 * size + 3 * greatest(3 * size, 4 * _least)")
-        .select("sid", "gid", "other"),
+        .selectExpr("sid", "gid", "other", "size", "cover", "shared + size - part as rest"),
         "qualifying",
     )
     covered = measured.where("part - cover < floor(size / 4) + 1").select("sid")
@@ -369,8 +384,8 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     # what is left: pairs from different components
     opened_pairs = (
         open_.join(named.selectExpr("sid", "component as _ca"), "sid")
-        .join(named.selectExpr("gid as other", "sid as b", "component as _cb"), "other")
-        .where("_ca <> _cb")
+        .join(named.join(measured.selectExpr("sid", "size as _size", "cover as _cover"), "sid").selectExpr("gid as other", "sid as b", "component as _cb", "_size", "_cover"), "other")
+        .where("_ca <> _cb and 7 * (rest + least(cover, _cover)) >= 3 * (size + _size)")
         .selectExpr("sid as a", "b")
     )
     covered_pairs = _frequent_pairs(matches, named.join(measured.join(covered, "sid", "left_semi").select("sid", "size", "part"), "sid"))
