@@ -4,11 +4,12 @@ Unit vectors are cut in halves, each half has its own codebook, and a pair of co
 the product grid. Every vector lies in one cell. A vector visits cells in the order of the multi-sequence
 traversal (smallest sum of its distances to the two codewords first) and is compared, by exact cosine
 in double precision, with the vectors of its label in them. How many cells are visited follows
-from the target recall: neighbours at exactly the threshold are drawn around sample vectors, and the
-visit count is the rank that holds the wanted share of their cells.
+from the target recall: neighbours at exactly the threshold are drawn around sample vectors that the
+codebooks were not fitted on, and the visit count is the rank that holds the wanted share of their cells,
+however high it is.
 
-Codebooks and visit count are fitted on ``SAMPLE`` distinct vectors (documented bound); every vector is
-indexed and every vector searches. Equal vectors of a label are one class with a weight. The two
+Codebooks are fitted on ``SAMPLE`` distinct vectors and the visit count on ``KEPT_OUT`` others (documented
+bounds; of a smaller table a quarter is kept out); every vector is indexed and every vector searches. Equal vectors of a label are one class with a weight. The two
 sides of a cell are dealt into tiles of at most about ``TILE`` rows, so a cell that holds a third of
 all vectors is many tasks. A tile gives link counts and a spanning forest, never all pairs.
 
@@ -31,6 +32,7 @@ from stayrate.llm.common import components, stored, table
 THRESHOLD = 0.98
 TARGET_RECALL = 0.98
 SAMPLE = 8192
+KEPT_OUT = 2048
 PER_CELL = 16  # vectors of a cell that the codebooks aim at
 MOST_CODEWORDS = 1024
 LEAST_VISITS = 4
@@ -69,7 +71,7 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, visits: int) -> tuple[
     smaller ranks, so only cells with (i+1)(j+1) <= visits can be among the first ``visits``.
     """
     a, b = np.argsort(first, axis=1, kind="stable"), np.argsort(second, axis=1, kind="stable")
-    ranks = [(i, j) for i in range(first.shape[1]) for j in range(second.shape[1]) if (i + 1) * (j + 1) <= visits]
+    ranks = [(i, j) for i in range(min(first.shape[1], visits)) for j in range(min(second.shape[1], visits // (i + 1)))]
     i, j = np.array(ranks).T
     sums = np.take_along_axis(first, a, 1)[:, i] + np.take_along_axis(second, b, 1)[:, j]
     order = np.argsort(sums, axis=1, kind="stable")[:, :visits]
@@ -82,24 +84,26 @@ class MultiIndex:
     def __init__(self, sample: np.ndarray, codewords: int, threshold: float, target: float):
         self.dimension = sample.shape[1]
         unit = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-        self.books = tuple(fit_codebook(h, codewords) for h in _halves(unit))
-        self.visits = self._calibrate(unit, threshold, target)
+        kept_out = min(KEPT_OUT, len(unit) // 4)
+        self.books = tuple(fit_codebook(h, codewords) for h in _halves(unit[kept_out:]))
+        self.visits = self._calibrate(unit[:kept_out], threshold, target)
 
-    def _calibrate(self, unit: np.ndarray, threshold: float, target: float) -> int:
+    def _calibrate(self, some: np.ndarray, threshold: float, target: float) -> int:
+        """The rank that holds the cells of the wanted share of neighbours; all cells if there is no row to tell."""
         cells = len(self.books[0]) * len(self.books[1])
-        if len(unit) == 0:
-            return min(LEAST_VISITS, cells)
+        if len(some) == 0:
+            return cells
         rng = np.random.default_rng(17)
-        some = unit[:2048]
         noise = rng.normal(size=some.shape)
         noise -= (noise * some).sum(1, keepdims=True) * some
         noise /= np.maximum(np.linalg.norm(noise, axis=1, keepdims=True), 1e-300)
         near = threshold * some + np.sqrt(1 - threshold**2) * noise
-        own = self.cells(near)
-        most = min(cells, 256)
-        visited = self.visit(some, most)
-        hit = visited == own[:, None]
-        rank = np.where(hit.any(1), hit.argmax(1) + 1, most)
+        first, second = self._halves_distances(some)
+        i, j = np.divmod(self.cells(near), len(self.books[1]))
+        rows = np.arange(len(some))
+        reach = (first[rows, i] + second[rows, j]) * (1 + 1e-9)
+        second.sort(axis=1)
+        rank = np.array([np.searchsorted(second[r], reach[r] - first[r], side="right").sum() for r in rows])
         return int(min(cells, max(LEAST_VISITS, np.quantile(rank, target, method="higher"))))
 
     def _halves_distances(self, unit: np.ndarray) -> list[np.ndarray]:
@@ -172,9 +176,9 @@ def _tile(threshold: float):
 
 
 def build_index(classes: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> MultiIndex:
-    """Fit on the ``SAMPLE`` classes with the smallest hash; the codebooks grow with the table."""
+    """Fit on the classes with the smallest hash; the codebooks grow with the table."""
     n, longest = classes.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("embedding").toArrow().column("embedding").to_pylist()
+    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE + KEPT_OUT).select("embedding").toArrow().column("embedding").to_pylist()
     codewords = int(min(MOST_CODEWORDS, max(4, np.ceil(np.sqrt((n or 0) / PER_CELL)))))
     return MultiIndex(_matrix(sample, longest or 2), codewords, threshold, target)
 
@@ -192,8 +196,9 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, target: float
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            step = max(1, min(1000, 1_000_000 // held.visits))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 raw = part.column(1).to_pylist()
                 plain = _matrix(raw, held.dimension)
                 unit = plain / np.linalg.norm(plain, axis=1, keepdims=True)

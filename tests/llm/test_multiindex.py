@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stayrate.llm import multiindex as M
@@ -98,3 +99,19 @@ def test_query_recall_against_brute_force(spark, sf_dir):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in M.op8_embedding_near_dedup(spark, sf_dir).withColumn("x", F.lit(1)).collect()}
     true = brute_force(rows)
     assert set(got) == set(true) and sum(v[0] for v in got.values()) >= 0.9 * sum(v[0] for v in true.values())
+
+
+@pytest.mark.parametrize("codewords", [354, 1024])
+def test_recall_of_large_codebooks_on_rows_outside_the_sample(codewords):
+    rng = np.random.default_rng(6)
+    turn = rng.normal(size=(64, 64))
+    index = M.MultiIndex(rng.normal(size=(M.SAMPLE + 2048, 64)) @ turn, codewords, M.THRESHOLD, M.TARGET_RECALL)
+    one = rng.normal(size=(3000, 64)) @ turn
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    away = rng.normal(size=one.shape)
+    away -= (away * one).sum(1, keepdims=True) * one
+    two = M.THRESHOLD * one + np.sqrt(1 - M.THRESHOLD**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    there = (index.visit(one, index.visits) == index.cells(two)[:, None]).any(1)
+    back = (index.visit(two, index.visits) == index.cells(one)[:, None]).any(1)
+    assert (there | back).mean() >= M.TARGET_RECALL
+    assert there.mean() >= M.TARGET_RECALL - 0.01
