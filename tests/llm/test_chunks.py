@@ -105,3 +105,14 @@ def test_query_finds_every_shared_run_of_51_words(spark, sf_dir):
     text = {i: " ".join(w) for i, w in rows}
     for r in got:  # whatever is reported is really elsewhere
         assert 0 <= r.repeated_bytes <= r.shared_bytes <= len(text[r.doc_id].encode()) + 100
+
+
+def test_periodic_passages_and_short_words_are_found(documents):
+    draw = random.Random(12)
+    short = lambda n, most, of: " ".join("".join(draw.choice(of) for _ in range(draw.randint(1, most))) for _ in range(n))
+    passages = ["la " * 60, "ha ha! " * 60, "no no no " * 60]
+    passages += [short(51, most, of) for most, of in ((2, "abcdefghijklmnop"), (2, "0123456789"), (3, "abcdefghijklmnop")) for _ in range(40)]
+    rows = [(2 * k + i, f"{text_of(draw, 40)} {p} {text_of(draw, 40)}") for k, p in enumerate(passages) for i in (0, 1)]
+    rows.append((1000, text_of(draw, 40) + " " + "la " * 180 + text_of(draw, 40)))
+    got = {r.doc_id for r in chunks.repeated_spans(documents(rows)).collect()}
+    assert got == {i for i, _ in rows}
