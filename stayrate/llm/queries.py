@@ -14,6 +14,7 @@ from stayrate.llm.jaccard import op3_ngram_jaccard
 from stayrate.llm.language import op10_language_id
 from stayrate.llm.licenses import op9_license_scan
 from stayrate.llm.multiindex import op8_embedding_near_dedup
+from stayrate.llm.pii import op13_pii
 from stayrate.llm.quality import op6_quality
 from stayrate.llm.toxicity import op2_toxicity
 
@@ -28,4 +29,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op13_pii": op13_pii,
 }
