@@ -17,6 +17,7 @@ from stayrate.llm.multiindex import op8_embedding_near_dedup
 from stayrate.llm.pii import op13_pii
 from stayrate.llm.quality import op6_quality
 from stayrate.llm.toxicity import op2_toxicity
+from stayrate.llm.whitening import op12_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -29,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op12_whitening": op12_whitening,
     "op13_pii": op13_pii,
 }
