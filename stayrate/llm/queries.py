@@ -16,6 +16,7 @@ from stayrate.llm.licenses import op9_license_scan
 from stayrate.llm.multiindex import op8_embedding_near_dedup
 from stayrate.llm.pii import op13_pii
 from stayrate.llm.quality import op6_quality
+from stayrate.llm.repair import op11_structure_repair
 from stayrate.llm.toxicity import op2_toxicity
 from stayrate.llm.whitening import op12_whitening
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_language_id": op10_language_id,
+    "op11_structure_repair": op11_structure_repair,
     "op12_whitening": op12_whitening,
     "op13_pii": op13_pii,
 }
