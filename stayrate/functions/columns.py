@@ -58,6 +58,18 @@ def numeric_label(c: Column, *, strict: bool = False) -> Column:
     return F.when(value.isNull() & c.isNotNull(), unmapped).otherwise(value)
 
 
+def label_status(c: Column) -> Column:
+    """used for 0 and 1 (or No and Yes), missing for NULL, quarantined for anything else."""
+    known = F.coalesce(numeric_label(c).isin(0.0, 1.0), F.lit(False))
+    return F.when(c.isNull(), "missing").when(known, "used").otherwise("quarantined")
+
+
+def strict_label(c: Column) -> Column:
+    """0.0 or 1.0, and NULL for a label that is missing or means something else."""
+    value = numeric_label(c)
+    return F.when(value.isin(0.0, 1.0), value)
+
+
 def tenure_bucket(c: Column) -> Column:
     """Life-cycle stage. NULL and negative months fall through to ``loyal``."""
     return F.when(c.between(0, 12), "new").when(c.between(13, 24), "growing").when(c.between(25, 48), "mature").otherwise("loyal")

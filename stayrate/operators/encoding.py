@@ -1,15 +1,14 @@
 """Categorical encoding and vector assembly.
 
-Everything here is map-only once the category labels are known, and those come from one
-aggregation over all categorical columns. The number of categories is not bounded unless the caller
-asks for it: indices come from a distributed order, and only the fitted model, which holds every label
-by its nature, lives on the driver.
-
-The same vector can be built in two ways. ``fit_encoder`` and ``feature_assembler`` are the
-``pyspark.ml`` stages. ``direct_features`` writes the slots as plain comparisons, which stay in
-generated code and are several times faster for narrow vectors than passing 16 vectors per row
-between stages. Both give the same compressed vectors with the same slot names, so which one a
-feature store used cannot be told from it.
+Everything here is map-only once the category labels are known and few. Labels come from one aggregation
+over all categorical columns and stay in a table (see ``dictionary``), so their number is not
+bounded unless the caller asks for it.
+
+The same vector can be built in three ways, which cannot be told apart from a feature store:
+``direct_features`` compares with every label in generated code, for narrow vectors;
+``looked_up_features`` looks each value up in the dictionary and sets its slot, for any width;
+``fit_encoder`` and ``feature_assembler`` are the ``pyspark.ml`` stages. Slot names are part of the
+vector column where the labels are few, and a table (``FeatureModel.slot_names``) always.
 """
 
 from __future__ import annotations
@@ -18,81 +17,45 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayrate.functions.columns import binarize_label
+from stayrate.functions.columns import label_status, strict_label
 from stayrate.operators.bounded import fixed
 from stayrate.operators.cleaning import numeric_columns
+from stayrate.operators.dictionary import Dictionary, fit_dictionary
 from stayrate.operators.features import add_tenure_bucket, engineer_features
-from stayrate.operators.ordering import number_rows
+from stayrate.operators.vectors import entries_of, vector_of
 from stayrate.schemas import CATEGORICAL_COLUMNS, METADATA_COLUMNS, NUMERIC_COLUMNS
 from stayrate.sources.readers import read_parquet
 from stayrate.sources.writers import write_parquet
 
-# Up to this width comparing against every label is quicker than looking the value up.
-DIRECT_SLOTS = 256
-
-
-def category_counts(df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS) -> DataFrame:
-    """Rows per value of each column, in one pass: (column, value, count)."""
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))
-    return df.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("column", "value").count()
-
-
-def check_categories(counts: DataFrame, max_categories: int | None) -> DataFrame:
-    """``counts``, failing when a column has more than ``max_categories`` values."""
-    if max_categories is not None:
-        wide = counts.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") > max_categories).orderBy("column").collect()
-        if wide:  # at most one row a column
-            told = ", ".join(f"{r['column']} ({r['n']})" for r in wide)
-            raise ValueError(f"more than {max_categories} categories in {told}; is one of them an identifier?")
-    return counts
-
 
 def category_indices(
     df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
 ) -> DataFrame:
-    """Index of each value: most frequent first, ties by name; (column, value, count, index).
-
-    All columns are put in one distributed order, from which each column's start is taken off, so a
-    column with very many values is not one task.
-    """
-    counts = check_categories(fixed(category_counts(df, columns)), max_categories)
-    ordered = fixed(number_rows(counts.withColumn("_rank", -F.col("count")), "column", "_rank", "value", name="_place"))
-    starts = ordered.groupBy("column").agg(F.min("_place").alias("_start"))  # one row a column
-    placed = ordered.join(F.broadcast(starts), "column")
-    return placed.select("column", "value", "count", (F.col("_place") - F.col("_start")).cast("double").alias("index"))
+    """Index of each value: most frequent first, ties by name; (column, value, count, index)."""
+    return fit_dictionary(df, columns, max_categories=max_categories).entries()
 
 
 def fit_indexers(
     df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
 ) -> list[StringIndexerModel]:
     """One indexer per column, all learned in one pass; unseen and NULL values get the extra last index."""
-    ranked = category_indices(df, columns, max_categories=max_categories).orderBy("column", "index").collect()
-    labels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in ranked:
-        labels[r["column"]].append(r["value"])
-    return [
-        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns
-    ]
+    return fit_dictionary(df, columns, max_categories=max_categories).indexers()
 
 
 def fit_encoder(
     df: DataFrame, columns: list[str] = CATEGORICAL_COLUMNS, *, max_categories: int | None = None
 ) -> PipelineModel:
-    """Indexing and one-hot encoding into ``<column>_idx`` and ``<column>_ohe``.
+    """Indexing and one-hot encoding into ``<column>_idx`` and ``<column>_ohe``, as ``pyspark.ml`` stages.
 
-    Each vector has one slot per category; an unseen or NULL value sets none of them.
+    Each vector has one slot per category; an unseen or NULL value sets none of them. Beyond the
+    bound of such stages ``Dictionary.encode`` gives the same columns.
     """
-    indexers = PipelineModel(fit_indexers(df, columns, max_categories=max_categories))
-    encoder = OneHotEncoder(
-        inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns], dropLast=True
-    )
-    # The sizes come from the indexed columns' metadata, so fitting reads no rows.
-    return PipelineModel([*indexers.stages, encoder.fit(indexers.transform(df))])
+    return fit_dictionary(df, columns, max_categories=max_categories).stages(df)
 
 
 def feature_assembler(
@@ -109,12 +72,6 @@ def numeric_assembler(df: DataFrame) -> VectorAssembler:
     return VectorAssembler(inputCols=numeric_columns(df), outputCol="features", handleInvalid="skip")
 
 
-def category_labels(encoder: PipelineModel) -> dict[str, list[str]]:
-    """Column to labels in index order, out of a fitted encoder."""
-    indexers = [stage for stage in encoder.stages if isinstance(stage, StringIndexerModel)]
-    return {stage.getInputCol(): list(stage.labels) for stage in indexers}
-
-
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows without NULL or NaN in ``columns``; one condition per column, so each reaches the scan."""
     kinds = dict(df.dtypes)
@@ -141,31 +98,52 @@ def direct_features(df: DataFrame, labels: Mapping[str, list[str]], numeric: lis
     return assembled.drop("_dense").withMetadata("features", metadata)
 
 
+def looked_up_features(df: DataFrame, dictionary: Dictionary, numeric: list[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """Add ``features`` as ``feature_assembler`` would, from the dictionary's table. Needs complete rows."""
+    found = dictionary.look_up(df)
+    pairs = [(F.lit(i), F.col(c)) for i, c in enumerate(numeric)]
+    first = len(numeric)
+    for c in dictionary.columns:
+        pairs.append((F.col(f"`_index_{c}`") + first, F.lit(1.0)))
+        first += dictionary.sizes[c]
+    features = vector_of(entries_of(pairs), first, len(pairs))
+    metadata = {"ml_attr": {"num_attrs": first}}
+    return found.withColumn("features", features).withMetadata("features", metadata).drop(*(f"_index_{c}" for c in dictionary.columns))
+
+
 def store_columns(vectors: DataFrame, *, label: str = "Churn", extra: Sequence[str] = ()) -> DataFrame:
     """Vector, label and metadata columns only; the wide intermediates go no further.
 
-    ``extra`` keeps further columns, such as ``source_row`` to split by.
+    ``label`` is 0, 1 or NULL and ``label_status`` says why: used, missing or quarantined. ``extra`` keeps
+    further columns, such as ``source_row`` to split by.
     """
-    return vectors.withColumn("label", binarize_label(F.col(label))).select("features", "label", *METADATA_COLUMNS, *extra)
+    given = F.col(label)
+    labelled = vectors.withColumns({"label_status": label_status(given), "label": strict_label(given)})
+    return labelled.select("features", "label", *METADATA_COLUMNS, *extra, "label_status")
 
 
-def contract_totals(df: DataFrame) -> DataFrame:
-    """Contract, its average to the cent, and what the overall average is made of."""
+def feature_totals(df: DataFrame) -> DataFrame:
+    """What the feature step learns, in one pass: (column, value, count, total, charges) for each label.
+
+    Rows without a contract count in none of it. ``total`` is the sum of the monthly charges, ``charges`` their number.
+    """
     charge = F.col("MonthlyCharges")
-    return df.filter("Contract IS NOT NULL").groupBy("Contract").agg(
-        F.round(F.avg(charge), 2).alias("avg_charge_by_contract"), F.sum(charge).alias("_total"), F.count(charge).alias("_n")
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in CATEGORICAL_COLUMNS))
+    labelled = df.filter("Contract IS NOT NULL").transform(add_tenure_bucket).select(F.inline(pairs), charge)
+    return labelled.filter("value IS NOT NULL").groupBy("column", "value").agg(
+        F.count("*").alias("count"), F.sum(charge).alias("total"), F.count(charge).alias("charges")
     )
 
 
 @dataclass(frozen=True)
 class FeatureModel:
-    """What the feature step learns from data: contract averages and the category encoder.
+    """What the feature step learns from data: contract averages and the category dictionary.
 
     ``averages`` has a row per learned contract; a contract that was not learned gets ``overall``.
     """
 
     averages: DataFrame
-    encoder: PipelineModel
+    dictionary: Dictionary
     overall: float | None = None
 
     def usable(self, subscribers: DataFrame) -> DataFrame:
@@ -178,27 +156,30 @@ class FeatureModel:
         averages = self.averages.select("Contract", "avg_charge_by_contract")
         engineered = engineer_features(self.usable(subscribers), averages, overall=self.overall)
         engineered = complete_rows(engineered, ["avg_charge_by_contract"]) if self.overall is None else engineered
-        labels = category_labels(self.encoder)
-        if sum(map(len, labels.values())) <= DIRECT_SLOTS:
-            return store_columns(direct_features(engineered, labels), extra=extra)
-        return store_columns(feature_assembler().transform(self.encoder.transform(engineered)), extra=extra)
+        labels = self.dictionary.labels
+        vectors = looked_up_features(engineered, self.dictionary) if labels is None else direct_features(engineered, labels)
+        return store_columns(vectors, extra=extra)
+
+    def slot_names(self) -> DataFrame:
+        """(slot, feature) of the vectors."""
+        return self.dictionary.slot_names(NUMERIC_COLUMNS)
 
     def save(self, path: str) -> None:
         write_parquet(self.averages.withColumn("overall", F.lit(self.overall).cast("double")), f"{path}/averages")
-        self.encoder.write().overwrite().save(f"{path}/encoder")
+        self.dictionary.save(f"{path}/dictionary")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FeatureModel:
         averages = read_parquet(spark, f"{path}/averages")
         first = averages.select("overall").first() if "overall" in averages.columns else None
-        return FeatureModel(averages.drop("overall"), PipelineModel.load(f"{path}/encoder"), first and first["overall"])
+        return FeatureModel(averages.drop("overall"), Dictionary.load(spark, f"{path}/dictionary"), first and first["overall"])
 
 
 def fit_features(subscribers: DataFrame, *, max_categories: int | None = None) -> FeatureModel:
-    """Learn the feature step. Pass training rows only to keep held-out rows out of it."""
-    totals = fixed(contract_totals(subscribers))
-    overall = totals.agg(F.round(F.sum("_total") / F.nullif(F.sum("_n"), F.lit(0)), 2)).first()[0]
-    # Rows without a contract have no average and do not get as far as the encoder.
-    encoded_rows = subscribers.filter("Contract IS NOT NULL").transform(add_tenure_bucket)
-    encoder = fit_encoder(encoded_rows, max_categories=max_categories)
-    return FeatureModel(totals.drop("_total", "_n"), encoder, overall)
+    """Learn the feature step in one pass. Pass training rows only to keep held-out rows out of it."""
+    learned = fixed(feature_totals(subscribers))
+    contracts = learned.filter(F.col("column") == "Contract")
+    mean = F.round(F.sum("total") / F.nullif(F.sum("charges"), F.lit(0)), 2)
+    averages = contracts.groupBy(F.col("value").alias("Contract")).agg(mean.alias("avg_charge_by_contract"))
+    dictionary = fit_dictionary(subscribers, max_categories=max_categories, counts=learned)
+    return FeatureModel(fixed(averages), dictionary, contracts.agg(mean).first()[0])

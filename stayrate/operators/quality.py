@@ -139,23 +139,28 @@ def partition_rows(profile: DataFrame) -> DataFrame:
 
 
 def written_profile(stored: DataFrame) -> DataFrame:
-    """Row, null and class counts of a feature store in one pass."""
+    """Row, null, class and label-status counts of a feature store in one pass.
+
+    ``null_labels`` counts rows that should have a label: those with the status used, or all where a table has no status.
+    """
+    status = F.col("label_status") if "label_status" in stored.columns else F.lit("used")
     return stored.agg(
         F.count("*").alias("row_count"),
         F.count_if(F.col("features").isNull()).alias("null_features"),
-        F.count_if(F.col("label").isNull()).alias("null_labels"),
+        F.count_if((status == "used") & F.col("label").isNull()).alias("null_labels"),
         F.count_if(F.col("label") == 0).alias("label_0"),
         F.count_if(F.col("label") == 1).alias("label_1"),
+        *(F.count_if(status == s).alias(s) for s in ("used", "missing", "quarantined")),
     )
 
 
 def check_written(stored: DataFrame) -> DataFrame:
-    """``written_profile``, failing when a vector or a label is missing."""
+    """``written_profile``, failing when a vector or the label of a used row is missing."""
     profile = written_profile(stored)
     found = profile.first()
     if found["null_features"] or found["null_labels"]:
         raise ValueError(f"feature store has {found['null_features']} null vectors and {found['null_labels']} null labels")
-    return profile
+    return stored.sparkSession.createDataFrame([found], profile.schema)
 
 
 def check_row_count(df: DataFrame, target_rows: int) -> int:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from stayrate.functions import columns as C
 from stayrate.functions.hashing import hash_bigint, hash_fraction_below, hash_normal
-from stayrate.operators.bounded import fixed
 from stayrate.operators.ordering import number_rows
 from stayrate.operators.quality import stddev_profile
 from stayrate.schemas import CHUNK_ROWS, NOISE_FACTOR, NOISY_COLUMNS
@@ -67,10 +66,9 @@ def with_fold(df: DataFrame, key: str, folds: int, *, seed: int = 42, null_keys:
 def draw_rows(numbered: DataFrame, rows: int, *, seed: int = 42) -> DataFrame:
     """``rows`` draws with replacement from a table numbered by ``source_row``.
 
-    The draws are generated on the executors. The numbered source is a written table, so the planner
+    The draws are generated on the executors. ``number_rows`` gives a written table, so the planner
     knows its bytes: it is broadcast below the session's broadcast threshold and shuffled beyond.
     """
-    numbered = fixed(numbered)
     size = numbered.count()
     if size == 0:
         raise ValueError("cannot draw from an empty table")
@@ -112,6 +110,6 @@ def add_noise(
 
 def scale_up(source: DataFrame, rows: int, *, key: str = "customerID", seed: int = 42) -> DataFrame:
     """Bootstrap plus noise: the scaled-up subscriber table. ``source`` is evaluated once."""
-    numbered = fixed(number_rows(source, key, name="source_row"))
+    numbered = number_rows(source, key, name="source_row")
     stddevs = column_stddevs(numbered, [c for c in NOISY_COLUMNS if c in source.columns])
     return draw_rows(numbered, rows, seed=seed).transform(add_noise, stddevs, seed=seed)

@@ -83,7 +83,8 @@ def feature_job(
 ) -> DataFrame:
     """Subscriber table to feature store; returns the counts of the written table and of rows left out.
 
-    The averages and encoders are learned from the whole table, from ``fit_on`` (training rows
+    One write routes the rows by label: folders ``label_status=used``, ``missing`` and ``quarantined``, of which
+    only the first has labels. The averages and encoders are learned from the whole table, from ``fit_on`` (training rows
     only), or taken from an earlier ``feature_model``. Save them to encode later months alike.
     Rows without a contract or with a missing number get no vector; they are counted.
     """
@@ -91,7 +92,7 @@ def feature_job(
     model = feature_model or fit_features(subscribers if fit_on is None else fit_on, max_categories=max_categories)
     if save_model_to is not None:
         model.save(save_model_to)
-    write_file_count(model.transform(subscribers, extra=extra), output, files=files)
+    write_file_count(model.transform(subscribers, extra=extra), output, files=files, by=["label_status"])
     written = quality.check_written(spark.read.parquet(output))
     # One column. (``observe`` would count in passing, but a session that has observed something can no
     # longer serialize the functions of a fitted pipeline.)

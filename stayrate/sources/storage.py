@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,14 @@ def checkpointed(df: DataFrame, name: str = "table") -> DataFrame:
 
     The table is Parquet, so later reads prune columns and the planner knows its size.
     """
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str = "table", *, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """``checkpointed``, split into folders ``by`` columns, together with the path."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def remove_scratch(spark: SparkSession) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from stayrate.schemas import ROW_GROUP_ROWS
@@ -9,9 +11,9 @@ from stayrate.schemas import ROW_GROUP_ROWS
 SCORE_FORMATS = ("parquet", "csv")
 
 
-def write_parquet(df: DataFrame, path: str, **options: object) -> None:
-    """Snappy-compressed Parquet with as many files as ``df`` has partitions."""
-    df.write.mode("overwrite").options(compression="snappy", **options).parquet(path)
+def write_parquet(df: DataFrame, path: str, *, by: Sequence[str] = (), **options: object) -> None:
+    """Snappy-compressed Parquet, split into folders ``by`` columns, with as many files as ``df`` has partitions."""
+    df.write.mode("overwrite").options(compression="snappy", **options).partitionBy(*by).parquet(path)
 
 
 def write_row_bounded(df: DataFrame, path: str, *, rows: int = ROW_GROUP_ROWS) -> None:
@@ -19,9 +21,18 @@ def write_row_bounded(df: DataFrame, path: str, *, rows: int = ROW_GROUP_ROWS) -
     write_parquet(df, path, **{"parquet.block.row.count.limit": rows})
 
 
-def write_file_count(df: DataFrame, path: str, *, files: int | None = None) -> None:
-    """Parquet in exactly ``files`` even files; None writes the partitions as they are, without a shuffle."""
-    write_parquet(df if files is None else df.repartition(files), path)
+def sized(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` in partitions near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+    Adaptive execution merges small partitions and splits large ones after the shuffle, by their bytes.
+    With ``by``, rows of the same values come together first, however many partitions these then take.
+    """
+    return df.hint("rebalance", *by)
+
+
+def write_file_count(df: DataFrame, path: str, *, files: int | None = None, by: Sequence[str] = ()) -> None:
+    """Parquet in exactly ``files`` even files (in each folder); None sizes the files by bytes."""
+    write_parquet(sized(df, *by) if files is None else df.repartition(files), path, by=by)
 
 
 def check_score_format(output_format: str) -> str:

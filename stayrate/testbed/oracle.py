@@ -342,6 +342,26 @@ draws AS (
 drawn AS (SELECT * FROM draws JOIN numbered USING (source_row))"""
 
 
+def _label_order(column: str, table: str = "lineitem") -> str:
+    """Labels of a column, the most frequent first, ties by name."""
+    return f"""{column}_order AS (
+  SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS place
+  FROM (SELECT CAST({column} AS VARCHAR) AS value, count(*) AS n FROM {table} GROUP BY 1)
+)"""
+
+
+def _label_joins(names: dict[str, str]) -> str:
+    return " ".join(f"JOIN {c}_order {a} ON {a}.value = CAST(l.{c} AS VARCHAR)" for a, c in names.items())
+
+
+_ROUTED = f"""{_RAW},
+routed AS (
+  SELECT customerID, CASE WHEN right(customerID, 1) = '8' THEN 'missing' WHEN Churn IN ('Yes', 'No') THEN 'used'
+         ELSE 'quarantined' END AS label_status,
+         CAST(CASE WHEN right(customerID, 1) <> '8' THEN CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END END AS DOUBLE) AS label
+  FROM raw
+)"""
+
 ORACLE: dict[str, str] = {
     "parquet_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "multi_file_scan": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
@@ -446,13 +466,34 @@ FROM pairs LEFT JOIN indexed USING ("column", value) JOIN widths USING ("column"
     ),
     "assembled_features": _with(
         _VECTORS,
-        "SELECT customerID, CAST(CASE WHEN Churn = 1 THEN 1 ELSE 0 END AS DOUBLE) AS label, CAST(slot AS INTEGER) AS slot, "
+        "SELECT customerID, CAST(Churn AS DOUBLE) AS label, CAST(slot AS INTEGER) AS slot, "
         "slots.value FROM slots JOIN complete USING (customerID) WHERE slots.value <> 0",
     ),
+    "routed_labels": _with(_ROUTED, "SELECT customerID, label, label_status FROM routed"),
+    "routed_label_counts": _with(
+        _ROUTED,
+        "SELECT count(*) AS row_count, count(*) FILTER (WHERE label = 0) AS label_0, count(*) FILTER (WHERE label = 1) AS label_1, "
+        + ", ".join(f"count(*) FILTER (WHERE label_status = '{s}') AS {s}" for s in ("used", "missing", "quarantined"))
+        + " FROM routed",
+    ),
+    "wide_string_index": _with(
+        ", ".join(_label_order(c) for c in ("l_orderkey", "l_partkey", "l_returnflag")),
+        "SELECT l.l_orderkey, l.l_partkey, l.l_returnflag, any_value(a.place) AS l_orderkey_index, any_value(b.place) AS l_partkey_index, "
+        "any_value(c.place) AS l_returnflag_index, count(*) AS n FROM lineitem l "
+        + _label_joins({"a": "l_orderkey", "b": "l_partkey", "c": "l_returnflag"})
+        + " GROUP BY 1, 2, 3",
+    ),
+    "wide_features": _with(
+        ", ".join(_label_order(c) for c in ("l_orderkey", "l_partkey")),
+        "SELECT l_orderkey, l_linenumber, unnest(CASE WHEN l_quantity <> 0 THEN [0] ELSE [] END || [1 + a.place, "
+        "1 + (SELECT count(*) FROM l_orderkey_order) + b.place]) AS slot FROM lineitem l "
+        + _label_joins({"a": "l_orderkey", "b": "l_partkey"}),
+    ),
     "written_validation": _with(
         f"{_GAPPY}, {_engineered('gappy')}",
         "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS null_features, CAST(0 AS BIGINT) AS null_labels, "
-        "count(*) FILTER (WHERE Churn IS DISTINCT FROM 1) AS label_0, count(*) FILTER (WHERE Churn = 1) AS label_1, "
+        "count(*) FILTER (WHERE Churn = 0) AS label_0, count(*) FILTER (WHERE Churn = 1) AS label_1, "
+        "count(Churn) AS used, count(*) - count(Churn) AS missing, CAST(0 AS BIGINT) AS quarantined, "
         "(SELECT count(*) FROM gappy) AS rows_read, (SELECT count(*) FROM gappy WHERE Contract IS NULL) AS skipped_contract, "
         "(SELECT count(*) FROM gappy WHERE Contract IS NOT NULL) - count(*) AS skipped_number "
         "FROM engineered WHERE tenure IS NOT NULL",

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions import columns as C
-from stayrate.operators import curves, encoding, features, importance, metrics, quality, sampling, scoring, training
+from stayrate.operators import curves, dictionary, encoding, features, importance, metrics, quality, sampling, scoring, training
 from stayrate.operators.bounded import join_grouped
 from stayrate.operators.cleaning import label_report, resolve_label
 from stayrate.operators.cleaning import numeric_columns as find_numeric
 from stayrate.plans import jobs
-from stayrate.schemas import CHUNK_ROWS, NOISE_FACTOR, NOISY_COLUMNS
+from stayrate.schemas import CATEGORICAL_COLUMNS, CHUNK_ROWS, NOISE_FACTOR, NOISY_COLUMNS
 from stayrate.sources import readers
 from stayrate.sources.models import load_model, save_model
 from stayrate.sources.storage import scratch_path
@@ -362,16 +362,35 @@ def string_index(spark, sf):
     return encoding.category_indices(_bucketed(spark, sf))
 
 
+@_query
+def wide_string_index(spark, sf):
+    """Two columns of very many labels, and one of few: numbered and looked up without the driver."""
+    lines = tables.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    columns = ["l_orderkey", "l_partkey", "l_returnflag"]
+    found = dictionary.fit_dictionary(lines, columns).look_up(lines)
+    return found.groupBy(*columns).agg(*(F.max(f"_index_{c}").alias(f"{c}_index") for c in columns), F.count("*").alias("n"))
+
+
+@_query
+def wide_features(spark, sf):
+    """Set slots of sparse vectors over every order and part number."""
+    lines = tables.table(spark, sf, "lineitem").select("l_linenumber", "l_orderkey", "l_partkey", "l_quantity")
+    found = dictionary.fit_dictionary(lines, ["l_orderkey", "l_partkey"])
+    vectors = encoding.looked_up_features(lines, found, ["l_quantity"])
+    slots = vectors.select("l_orderkey", "l_linenumber", F.posexplode(F.unwrap_udt("features")["indices"]).alias("place", "slot"))
+    return slots.withColumn("slot", F.col("slot").cast("long")).drop("place")
+
+
 @_query
 def one_hot(spark, sf):
     bucketed = _bucketed(spark, sf)
-    encoded = encoding.fit_encoder(bucketed).transform(bucketed)
+    encoded = dictionary.fit_dictionary(bucketed).encode(bucketed)
 
     def bits(c: str):
         return F.array_join(F.transform(vector_to_array(f"{c}_ohe"), lambda x: x.cast("int").cast("string")), "")
 
     pairs = [
-        F.struct(F.lit(c).alias("column"), bits(c).alias("bits")) for c in encoding.CATEGORICAL_COLUMNS
+        F.struct(F.lit(c).alias("column"), bits(c).alias("bits")) for c in CATEGORICAL_COLUMNS
     ]
     return encoded.select("customerID", F.inline(F.array(*pairs)))
 
@@ -384,6 +403,26 @@ def assembled_features(spark, sf):
     return slots.filter("value <> 0")
 
 
+def _routed(spark, sf):
+    """A feature store of subscribers with labels "maybe" and NULL, and the job's counts."""
+    path = scratch_path(spark, "routed")
+    raw = tables.raw_subscribers(spark, sf).withColumn("TotalCharges", C.coerce_number(F.col("TotalCharges")))
+    write_parquet(raw.withColumn("Churn", F.when(~F.col("customerID").endswith("8"), F.col("Churn"))), f"{path}/input")
+    counts = jobs.feature_job(spark, f"{path}/input", f"{path}/features")
+    return spark.read.parquet(f"{path}/features"), counts
+
+
+@_query
+def routed_labels(spark, sf):
+    """Which rows of the written store are used, missing a label or put aside, with what label."""
+    return _routed(spark, sf)[0].select("customerID", "label", "label_status")
+
+
+@_query
+def routed_label_counts(spark, sf):
+    return _routed(spark, sf)[1].select("row_count", "label_0", "label_1", "used", "missing", "quarantined")
+
+
 @_query
 def written_validation(spark, sf):
     path = scratch_path(spark, "store")

@@ -43,6 +43,13 @@ def test_numeric_label(spark):
     assert apply(spark, [1, 0, None], "bigint", C.numeric_label) == [1, 0, None]
 
 
+def test_label_status_and_strict_label(spark):
+    values = ["Yes", "No", "1", "0.0", " 1 ", None, "maybe", "", "2", "NaN"]
+    assert apply(spark, values, "string", C.label_status) == ["used"] * 5 + ["missing"] + ["quarantined"] * 4
+    assert apply(spark, values, "string", C.strict_label) == [1, 0, 1, 0, 1, None, None, None, None, None]
+    assert apply(spark, [1, 0, 2, None], "bigint", C.label_status) == ["used", "used", "quarantined", "missing"]
+
+
 def test_strict_label_names_the_value(spark):
     assert apply(spark, ["Yes", None], "string", lambda c: C.numeric_label(c, strict=True)) == [1, None]
     with pytest.raises(PySparkException, match="maybe"):

@@ -70,6 +70,30 @@ def test_evaluation(spark, folder, store, trained):
     assert spark.read.parquet(f"{folder}/out/importances").columns == ["slot", "feature", "GBT", "RF"]
 
 
+def test_labels_are_routed_in_one_write(spark, tmp_path):
+    given = {"1": "Yes", "2": "No", "3": "maybe", "4": None, "5": "", "6": "0"}
+    cases = [(last, value) for last, value in given.items()]
+    labels = spark.createDataFrame(cases, "last string, given string")
+    raw = tables.subscribers(spark, "/root/testdata/sf0.001").selectExpr("* EXCEPT (Churn)", "right(customerID, 1) AS last")
+    raw.join(labels, "last", "inner").withColumnRenamed("given", "Churn").drop("last").write.parquet(f"{tmp_path}/raw")
+    counts = jobs.feature_job(spark, f"{tmp_path}/raw", f"{tmp_path}/store").first()
+    store = spark.read.parquet(f"{tmp_path}/store")
+    by_label = {}
+    for r in store.collect():
+        by_label.setdefault(given[r["customerID"][-1]], set()).add((r["label"], r["label_status"]))
+    assert by_label == {
+        "Yes": {(1.0, "used")}, "No": {(0.0, "used")}, "0": {(0.0, "used")},
+        "maybe": {(None, "quarantined")}, "": {(None, "quarantined")}, None: {(None, "missing")},
+    }
+    assert (counts["used"], counts["missing"], counts["quarantined"]) == tuple(
+        store.filter(f"label_status = '{s}'").count() for s in ("used", "missing", "quarantined")
+    )
+    assert sorted(p.name for p in tmp_path.glob("store/label_status=*")) == [f"label_status={s}" for s in ("missing", "quarantined", "used")]
+    result = jobs.training_job(spark, f"{tmp_path}/store", config=TrainingConfig(fast=True, models=("LR",)))
+    assert result.quarantined == counts["missing"] + counts["quarantined"] > 0
+    assert sum(result.report.first()[c] for c in ("tn", "fp", "fn", "tp")) <= counts["used"]
+
+
 def test_evaluation_without_models_fails_unless_asked(spark, folder, store):
     with pytest.raises(FileNotFoundError, match="LR_best"):
         jobs.evaluation_job(spark, store, f"{folder}/none", f"{folder}/none_out", jobs.EvaluationConfig(training=FAST))

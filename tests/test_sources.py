@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from stayrate.schemas import SUBSCRIBER_TYPES
 from stayrate.sources import readers, storage, writers
@@ -81,3 +82,28 @@ def test_checkpoints_go_where_the_session_says(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert named in storage.checkpoint_dir(spark)
     assert storage.scratch_path(spark, "x").startswith(storage.checkpoint_dir(spark))
+
+
+@pytest.mark.parametrize("parts", ["many tiny", "two skewed"])
+def test_files_are_sized_by_bytes(spark, tmp_path, parts):
+    wide = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit("a").alias("kind"))
+    if parts == "many tiny":
+        df = wide.repartition(1_000)
+    else:
+        df = wide.filter("id >= 50").coalesce(1).unionAll(wide.filter("id < 50").coalesce(1))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        # Rows of one value are split by the tasks that they come from, so that takes more than one task.
+        for by in ([], ["kind"]) if parts == "many tiny" else ([],):
+            path = tmp_path / f"out{len(by)}"
+            writers.write_file_count(df, str(path), by=by)
+            sizes = [f.stat().st_size for f in path.rglob("*.parquet")]
+            total = sum(sizes)
+            assert total / 3e6 < len(sizes) < total / 2e5, sizes
+            assert max(sizes) < 2.5 * total / len(sizes)
+            assert spark.read.parquet(str(path)).count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
