@@ -58,6 +58,7 @@ def session(cpus: str, scratch: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # beyond it HotSpot interprets
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .getOrCreate()

@@ -1,19 +1,25 @@
 """Exact ROC and precision-recall curves, computed on the executors.
 
 Scores are first reduced to one row per distinct score, so a score shared by a third of all rows
-costs no more than any other and ties always count together. The distinct scores are then put
-in descending blocks and accumulated per block plus an offset (see ``ordering``).
+costs no more than any other and ties always count together. The distinct scores then fall into
+buckets, whose borders are a function of the score alone: nothing is sampled, and nothing has to be written to
+keep the borders. Running counts are a window within a bucket plus the totals of the buckets above it.
+A bucket of more than ``BUCKET_ROWS`` distinct scores is cut again, evenly between its least and largest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayrate.functions.columns import nan_to_null
-from stayrate.operators.ordering import BLOCK, ordered_blocks
+
+#: Buckets between 0 and 1; a few more take what lies outside.
+BUCKETS = 4096
+BUCKET_ROWS = 1_000_000
+_CELL = ["_bucket", "_part"]
 
 # Products of two row counts pass 2**63 beyond three billion rows.
 _WIDE = "decimal(38,0)"
@@ -26,39 +32,69 @@ def score_counts(scored: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def ranked_counts(scored: DataFrame, *, by: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+def score_bucket(score: Column, buckets: int = BUCKETS) -> Column:
+    """A whole number that never falls as the score rises; a missing score comes first of all."""
+    within = F.floor(score * buckets).cast("int")
+    number = F.when(score < 0, F.when(score == float("-inf"), -2).otherwise(-1)).when(score < 1, within)
+    return F.when(score.isNull(), -3).otherwise(number.when(score == float("inf"), buckets + 1).otherwise(buckets))
+
+
+def with_cells(counts: DataFrame, *, by: Sequence[str] = (), buckets: int = BUCKETS, limit: int = BUCKET_ROWS) -> DataFrame:
+    """``counts`` with ``_bucket`` and, 0 unless the bucket is over the limit, ``_part``.
+
+    Only buckets over the limit are broadcast. There are at most as many as the distinct scores divided by
+    the limit, and as groups times buckets; mostly there is none.
+    """
+    by = list(by)
+    placed = counts.withColumn("_bucket", score_bucket(F.col("score"), buckets))
+    # Halves, since the width of a bucket that reaches both ends of the doubles is not a double.
+    half = F.col("score") / 2
+    sizes = placed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"), F.min(half).alias("_low"), (F.max(half) - F.min(half)).alias("_width"))
+    parts = F.ceil(F.col("_n") / limit * 2).cast("int")
+    over = sizes.filter(F.col("_n") > limit).select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_bucket").alias("_over"), parts.alias("_parts"), "_low", "_width")
+    met = F.col("_bucket") == F.col("_over")
+    for c in by:
+        met = met & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    part = F.floor((half - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)) * F.col("_parts")).cast("int")
+    cells = placed.join(F.broadcast(over), met, "left").withColumn("_part", F.coalesce(part, F.lit(0)))
+    return cells.select(*counts.columns, *_CELL)
+
+
+def ranked_counts(
+    scored: DataFrame, *, by: Sequence[str] = (), buckets: int = BUCKETS, limit: int = BUCKET_ROWS
+) -> DataFrame:
     """Distinct scores with running and total counts, highest score first.
 
     Columns: ``by``, score, pos, neg, tp, fp (up to and including the score), total_pos, total_neg.
     A missing score ranks last.
     """
     by = list(by)
-    descending = F.col("score").desc_nulls_last()
-    placed = ordered_blocks(score_counts(scored, by=by), *by, descending, blocks=blocks)
+    cells = with_cells(score_counts(scored, by=by), by=by, buckets=buckets, limit=limit)
 
-    # One row per group and block.
-    up_to_block = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and bucket.
+    falling = [F.desc(c) for c in _CELL]
+    above = Window.partitionBy(*by).orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by)
-    per_block = placed.groupBy(*by, BLOCK).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    offsets = per_block.select(
+    per_cell = cells.groupBy(*by, *_CELL).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    offsets = per_cell.select(
         *by,
-        BLOCK,
-        F.coalesce(F.sum("_pos").over(up_to_block), F.lit(0)).alias("_pos_before"),
-        F.coalesce(F.sum("_neg").over(up_to_block), F.lit(0)).alias("_neg_before"),
+        *_CELL,
+        F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_before"),
+        F.coalesce(F.sum("_neg").over(above), F.lit(0)).alias("_neg_before"),
         F.sum("_pos").over(everything).alias("total_pos"),
         F.sum("_neg").over(everything).alias("total_neg"),
     )
 
-    # The hint keeps the planner from broadcasting the distinct scores, whose size it cannot know
-    # after a checkpoint. Join and window share one partitioning: the scores shuffle once here.
-    in_block = Window.partitionBy(*by, BLOCK).orderBy(descending).rowsBetween(Window.unboundedPreceding, 0)
-    return placed.join(offsets.hint("shuffle_hash"), [*by, BLOCK]).select(
+    # The hint keeps the planner from broadcasting the distinct scores, whose size it cannot know.
+    # Join and window share one partitioning: the scores shuffle once here.
+    in_cell = Window.partitionBy(*by, *_CELL).orderBy(F.col("score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    return cells.join(offsets.hint("shuffle_hash"), [*by, *_CELL]).select(
         *by,
         "score",
         "pos",
         "neg",
-        (F.sum("pos").over(in_block) + F.col("_pos_before")).alias("tp"),
-        (F.sum("neg").over(in_block) + F.col("_neg_before")).alias("fp"),
+        (F.sum("pos").over(in_cell) + F.col("_pos_before")).alias("tp"),
+        (F.sum("neg").over(in_cell) + F.col("_neg_before")).alias("fp"),
         "total_pos",
         "total_neg",
     )

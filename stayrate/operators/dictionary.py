@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,13 +59,14 @@ class Dictionary:
     """Labels by column, the most frequent one first and ties by name.
 
     ``parts`` has (value, count, index) of each column, ``sizes`` their numbers of labels. ``labels`` has them
-    all in index order if there are at most ``DIRECT_SLOTS``, else None.
+    all in index order if there are at most ``DIRECT_SLOTS``, else None. ``whole`` has all parts as one table, if there is one.
     """
 
     columns: tuple[str, ...]
     sizes: Mapping[str, int]
     parts: Mapping[str, DataFrame] = field(repr=False)
     labels: Mapping[str, list[str]] | None
+    whole: DataFrame | None = field(default=None, repr=False)
 
     @property
     def width(self) -> int:
@@ -72,6 +74,8 @@ class Dictionary:
 
     def entries(self) -> DataFrame:
         """(column, value, count, index) of all columns."""
+        if self.whole is not None:
+            return self.whole.withColumn("index", F.col("index").cast("double"))
         tables = (self.parts[c].select(F.lit(c).alias("column"), "value", "count", F.col("index").cast("double").alias("index")) for c in self.columns)
         return reduce(DataFrame.unionByName, tables)
 
@@ -87,6 +91,8 @@ class Dictionary:
 
     def look_up(self, df: DataFrame, prefix: str = "_index_") -> DataFrame:
         """``df`` with ``<prefix><column>``: the label's index, NULL for an unseen or missing value."""
+        if self.labels is not None:  # few labels are a constant of the plan
+            return df.withColumns({f"{prefix}{c}": _position(F.col(f"`{c}`").cast("string"), self.labels[c]) for c in self.columns})
         for i, c in enumerate(self.columns):
             key, index = f"_label_{i}", f"{prefix}{c}"
             part = self.parts[c].select(F.col("value").alias(key), F.col("index").alias(index))
@@ -137,6 +143,12 @@ class Dictionary:
         return Dictionary(tuple(r["column"] for r in rows), {r["column"]: r["size"] for r in rows}, parts, labels)
 
 
+def _position(value: Column, labels: list[str]) -> Column:
+    if not labels:
+        return F.lit(None).cast("long")
+    return F.nullif(F.array_position(F.lit(labels), value), F.lit(0).cast("long")) - 1
+
+
 def _collected(entries: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     labels: dict[str, list[str]] = {c: [] for c in columns}
     for r in sorted(entries.collect(), key=lambda r: r["index"]):
@@ -147,10 +159,13 @@ def _collected(entries: DataFrame, columns: Sequence[str]) -> dict[str, list[str
 def _small(counts: DataFrame, columns: Sequence[str], sizes: Mapping[str, int]) -> Dictionary:
     """Few labels: numbered on the driver."""
     rows = sorted(counts.collect(), key=lambda r: (-r["count"], r["value"].encode()))
-    spark = counts.sparkSession
     ordered = {c: [r for r in rows if r["column"] == c] for c in columns}
-    parts = {c: spark.createDataFrame([(r["value"], r["count"], i) for i, r in enumerate(ordered[c])], _PART) for c in columns}
-    return Dictionary(tuple(columns), sizes, parts, {c: [r["value"] for r in ordered[c]] for c in columns})
+    numbered = [(c, r["value"], r["count"], i) for c in columns for i, r in enumerate(ordered[c])]
+    kinds = pa.schema([("column", pa.string()), ("value", pa.string()), ("count", pa.int64()), ("index", pa.int64())])
+    table = pa.table([list(x) for x in zip(*numbered)] or [[]] * 4, schema=kinds)
+    entries = counts.sparkSession.createDataFrame(table)  # from Arrow, so that the planner has a local table
+    parts = {c: entries.filter(F.col("column") == c).drop("column") for c in columns}
+    return Dictionary(tuple(columns), sizes, parts, {c: [r["value"] for r in ordered[c]] for c in columns}, entries)
 
 
 def _large(counts: DataFrame, columns: Sequence[str], sizes: Mapping[str, int]) -> Dictionary:

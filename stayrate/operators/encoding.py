@@ -21,8 +21,9 @@ from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stayrate.functions.columns import label_status, strict_label
+from stayrate.functions.columns import label_status, numeric_label, strict_label
 from stayrate.operators.bounded import fixed
 from stayrate.operators.cleaning import numeric_columns
 from stayrate.operators.dictionary import Dictionary, fit_dictionary
@@ -118,7 +119,8 @@ def store_columns(vectors: DataFrame, *, label: str = "Churn", extra: Sequence[s
     further columns, such as ``source_row`` to split by.
     """
     given = F.col(label)
-    labelled = vectors.withColumns({"label_status": label_status(given), "label": strict_label(given)})
+    value = given.cast("double") if isinstance(vectors.schema[label].dataType, T.NumericType) else numeric_label(given)
+    labelled = vectors.withColumns({"label_status": label_status(given, value), "label": strict_label(given, value)})
     return labelled.select("features", "label", *METADATA_COLUMNS, *extra, "label_status")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.sources.storage import checkpointed, written
+from stayrate.sources.storage import written
 
 BLOCK = "_block"
 PLACE = "_place"
@@ -87,9 +87,3 @@ def number_rows(df: DataFrame, *keys: str, blocks: int | None = None, name: str
     order = [*(F.col(k) for k in keys), F.xxhash64(*columns), F.col(_COPY)]
     placed = place_rows(told_apart, order, ties=[F.col(c) for c in columns], blocks=blocks)[0]
     return placed.select(*columns, number_of(F.col(PLACE), block_starts(placed)).alias(name))
-
-
-def ordered_blocks(df: DataFrame, *order: Column, blocks: int | None = None) -> DataFrame:
-    """Range-partition by ``order`` and fix the block numbers in a written table."""
-    ranged = _by_range(df, order, blocks)
-    return checkpointed(ranged.withColumn(BLOCK, F.spark_partition_id()))

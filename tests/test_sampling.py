@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayrate.operators import sampling
-from stayrate.operators.ordering import BLOCK, number_rows, ordered_blocks
+from stayrate.operators.ordering import BLOCK, PLACE, block_of, block_starts, number_rows, place_rows
 from stayrate.testbed import tables
 
 
@@ -31,8 +31,9 @@ def test_default_blocks_follow_the_size(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
         df = spark.range(0, 5000, 1, 3).select((F.lit(4999) - F.col("id")).alias("k"))
-        placed = ordered_blocks(df, F.col("k"))
+        placed = place_rows(df, [F.col("k")])[0].withColumn(BLOCK, block_of(F.col(PLACE)))
         assert placed.agg(F.countDistinct(BLOCK)).first()[0] < 50
+        assert sorted(block_starts(placed)) == sorted(r[0] for r in placed.select(BLOCK).distinct().collect())
         borders = placed.groupBy(BLOCK).agg(F.min("k").alias("low"), F.max("k").alias("high")).orderBy(BLOCK).collect()
         assert all(a["high"] < b["low"] for a, b in zip(borders, borders[1:]))
         assert number_rows(df, "k").filter("k <> row_index").count() == 0
