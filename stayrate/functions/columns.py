@@ -58,15 +58,18 @@ def numeric_label(c: Column, *, strict: bool = False) -> Column:
     return F.when(value.isNull() & c.isNotNull(), unmapped).otherwise(value)
 
 
-def label_status(c: Column) -> Column:
-    """used for 0 and 1 (or No and Yes), missing for NULL, quarantined for anything else."""
-    known = F.coalesce(numeric_label(c).isin(0.0, 1.0), F.lit(False))
-    return F.when(c.isNull(), "missing").when(known, "used").otherwise("quarantined")
+def label_status(given: Column, value: Column | None = None) -> Column:
+    """used for 0 and 1 (or No and Yes), missing for NULL, quarantined for anything else.
+
+    ``value`` is the label as a number where that is known already.
+    """
+    known = F.coalesce((numeric_label(given) if value is None else value).isin(0.0, 1.0), F.lit(False))
+    return F.when(given.isNull(), "missing").when(known, "used").otherwise("quarantined")
 
 
-def strict_label(c: Column) -> Column:
+def strict_label(given: Column, value: Column | None = None) -> Column:
     """0.0 or 1.0, and NULL for a label that is missing or means something else."""
-    value = numeric_label(c)
+    value = numeric_label(given) if value is None else value
     return F.when(value.isin(0.0, 1.0), value)
 
 

@@ -39,25 +39,28 @@ def score_bucket(score: Column, buckets: int = BUCKETS) -> Column:
     return F.when(score.isNull(), -3).otherwise(number.when(score == float("inf"), buckets + 1).otherwise(buckets))
 
 
-def with_cells(counts: DataFrame, *, by: Sequence[str] = (), buckets: int = BUCKETS, limit: int = BUCKET_ROWS) -> DataFrame:
-    """``counts`` with ``_bucket`` and, 0 unless the bucket is over the limit, ``_part``.
+def bucket_sizes(placed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct scores, positives and negatives of each bucket, and half its least score and its width."""
+    # Halves, since the width of a bucket that reaches both ends of the doubles is not a double.
+    half = F.col("score") / 2
+    return placed.groupBy(*by, "_bucket").agg(
+        F.count("*").alias("_n"), F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.min(half).alias("_low"), (F.max(half) - F.min(half)).alias("_width")
+    )
+
+
+def parted(placed: DataFrame, sizes: DataFrame, *, by: Sequence[str] = (), limit: int = BUCKET_ROWS, how: str = "left") -> DataFrame:
+    """``placed`` with ``_part``: 0, or where its bucket is over the limit which even piece of it.
 
     Only buckets over the limit are broadcast. There are at most as many as the distinct scores divided by
     the limit, and as groups times buckets; mostly there is none.
     """
-    by = list(by)
-    placed = counts.withColumn("_bucket", score_bucket(F.col("score"), buckets))
-    # Halves, since the width of a bucket that reaches both ends of the doubles is not a double.
-    half = F.col("score") / 2
-    sizes = placed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"), F.min(half).alias("_low"), (F.max(half) - F.min(half)).alias("_width"))
-    parts = F.ceil(F.col("_n") / limit * 2).cast("int")
-    over = sizes.filter(F.col("_n") > limit).select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_bucket").alias("_over"), parts.alias("_parts"), "_low", "_width")
+    pieces = F.ceil(F.col("_n") / limit * 2).cast("int")
+    over = sizes.filter(F.col("_n") > limit).select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_bucket").alias("_over"), pieces.alias("_pieces"), "_low", "_width")
     met = F.col("_bucket") == F.col("_over")
     for c in by:
         met = met & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    part = F.floor((half - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)) * F.col("_parts")).cast("int")
-    cells = placed.join(F.broadcast(over), met, "left").withColumn("_part", F.coalesce(part, F.lit(0)))
-    return cells.select(*counts.columns, *_CELL)
+    part = F.floor((F.col("score") / 2 - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)) * F.col("_pieces")).cast("int")
+    return placed.join(F.broadcast(over), met, how).select(*placed.columns, F.coalesce(part, F.lit(0)).alias("_part"))
 
 
 def ranked_counts(
@@ -69,14 +72,17 @@ def ranked_counts(
     A missing score ranks last.
     """
     by = list(by)
-    cells = with_cells(score_counts(scored, by=by), by=by, buckets=buckets, limit=limit)
+    placed = score_counts(scored, by=by).withColumn("_bucket", score_bucket(F.col("score"), buckets))
+    sizes = bucket_sizes(placed, by)
+    cells = parted(placed, sizes, by=by, limit=limit)
 
-    # One row per group and bucket.
+    # One row per group and bucket. Pieces are counted where a bucket has them; else the plan drops that branch as it runs.
+    pieces = parted(placed, sizes, by=by, limit=limit, how="inner").groupBy(*by, *_CELL).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    whole = sizes.filter(F.col("_n") <= limit).select(*by, "_bucket", F.lit(0).alias("_part"), "_pos", "_neg")
     falling = [F.desc(c) for c in _CELL]
     above = Window.partitionBy(*by).orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by)
-    per_cell = cells.groupBy(*by, *_CELL).agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    offsets = per_cell.select(
+    offsets = whole.unionByName(pieces).select(
         *by,
         *_CELL,
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_before"),

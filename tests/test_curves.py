@@ -129,7 +129,8 @@ def test_scores_of_any_size(spark, limit):
 
 def test_a_full_bucket_is_cut_again(spark):
     narrow = spark.range(20_000).select((F.lit(0.5) + F.col("id") * 1e-9).alias("score"), (F.col("id") % 2).cast("double").alias("label"))
-    cells = curves.with_cells(curves.score_counts(narrow), limit=1000).groupBy("_bucket", "_part").count().collect()
+    placed = curves.score_counts(narrow).withColumn("_bucket", curves.score_bucket(F.col("score")))
+    cells = curves.parted(placed, curves.bucket_sizes(placed), limit=1000).groupBy("_bucket", "_part").count().collect()
     assert len({r["_bucket"] for r in cells}) == 1 and max(r["count"] for r in cells) <= 1000
     found = curves.ranked_counts(narrow, limit=1000)
     assert found.filter("tp + fp <> 20000 - round((score - 0.5) * 1e9)").count() == 0
