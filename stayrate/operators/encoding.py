@@ -30,6 +30,7 @@ from stayrate.operators.dictionary import Dictionary, fit_dictionary
 from stayrate.operators.features import add_tenure_bucket, engineer_features
 from stayrate.operators.vectors import entries_of, vector_of
 from stayrate.schemas import CATEGORICAL_COLUMNS, METADATA_COLUMNS, NUMERIC_COLUMNS
+from stayrate.sources.models import publish, published
 from stayrate.sources.readers import read_parquet
 from stayrate.sources.writers import write_parquet
 
@@ -167,14 +168,20 @@ class FeatureModel:
         return self.dictionary.slot_names(NUMERIC_COLUMNS)
 
     def save(self, path: str) -> None:
-        write_parquet(self.averages.withColumn("overall", F.lit(self.overall).cast("double")), f"{path}/averages")
-        self.dictionary.save(f"{path}/dictionary")
+        """Publish a new version (see ``sources.models``)."""
+
+        def write(folder: str) -> None:
+            write_parquet(self.averages.withColumn("overall", F.lit(self.overall).cast("double")), f"{folder}/averages")
+            self.dictionary.save(f"{folder}/dictionary")
+
+        publish(self.averages.sparkSession, path, write)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FeatureModel:
-        averages = read_parquet(spark, f"{path}/averages")
+        folder = published(spark, path) or path
+        averages = read_parquet(spark, f"{folder}/averages")
         first = averages.select("overall").first() if "overall" in averages.columns else None
-        return FeatureModel(averages.drop("overall"), Dictionary.load(spark, f"{path}/dictionary"), first and first["overall"])
+        return FeatureModel(averages.drop("overall"), Dictionary.load(spark, f"{folder}/dictionary"), first and first["overall"])
 
 
 def fit_features(subscribers: DataFrame, *, max_categories: int | None = None) -> FeatureModel:

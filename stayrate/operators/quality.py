@@ -1,12 +1,18 @@
 """Schema, completeness, range, class-balance and partition checks.
 
-The data checks are two aggregations: one over all columns, one over the class column.
+The data checks are two aggregations: one over all columns, one over the class column. Of a stored table
+the first one is read from the Parquet footers, which hold the rows, nulls, least and largest values of each row group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayrate.schemas import SUBSCRIBER_TYPES
 
@@ -88,9 +94,33 @@ def partition_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame, *, target_rows: int | None = None, label: str = "Churn") -> DataFrame:
-    """Every check as rows of (check, column, value, ok)."""
-    wide = df.agg(
+def file_profile(df: DataFrame) -> DataFrame:
+    """(file, bytes, splits, rows) of each file of a stored table, whatever way a session would read it.
+
+    No column is read: rows come from the row groups, the rest from the scan's own file columns.
+    """
+    file = F.col("_metadata")
+    return df.select(file["file_path"].alias("file"), file["file_size"].alias("bytes"), file["file_block_start"].alias("start")).groupBy("file").agg(
+        F.max("bytes").alias("bytes"), F.count_distinct("start").alias("splits"), F.count("*").alias("rows")
+    )
+
+
+def file_skew(df: DataFrame) -> DataFrame:
+    """Files, rows and bytes of a stored table and how far its largest file is above the mean. Files without rows do not show."""
+    return file_profile(df).agg(
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("splits"), F.lit(0)).alias("splits"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.avg("bytes").alias("mean_bytes"),
+        F.max("bytes").alias("max_bytes"),
+        (F.max("bytes") / F.avg("bytes")).alias("bytes_skew"),
+        (F.max("rows") / F.avg("rows")).alias("rows_skew"),
+    )
+
+
+def wide_profile(df: DataFrame) -> DataFrame:
+    """One row: rows, and by column null_, min_, max_ and negative_."""
+    return df.agg(
         F.count("*").alias("rows"),
         *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns),
         *(F.min(c).cast("double").alias(f"min_{c}") for c in RANGE_COLUMNS),
@@ -98,6 +128,65 @@ def quality_report(df: DataFrame, *, target_rows: int | None = None, label: str
         *(F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in NON_NEGATIVE_COLUMNS),
     )
 
+
+# Spark's newer reader, the one that answers aggregates from footers.
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` whose Parquet counts, minima and maxima come from footers."""
+    session = spark.newSession()
+    for name, value in _FOOTERS.items():
+        session.conf.set(name, value)
+    return session
+
+
+def footer_aggregate(spark: SparkSession, path: str, ranges: Sequence[str] = ()) -> DataFrame:
+    """One row: rows, filled_ of every column, min_ and max_ of ``ranges``, in a session of its own.
+
+    The plan reads no column (``PushedAggregation``).
+    """
+    stored = footer_session(spark).read.parquet(path)
+    return stored.agg(
+        F.count("*").alias("rows"),
+        *(F.count(c).alias(f"filled_{c}") for c in stored.columns),
+        *(F.min(c).alias(f"min_{c}") for c in ranges),
+        *(F.max(c).alias(f"max_{c}") for c in ranges),
+    )
+
+
+def footer_profile(spark: SparkSession, path: str, *, ranges: Sequence[str] = RANGE_COLUMNS, negatives: Sequence[str] = NON_NEGATIVE_COLUMNS) -> DataFrame:
+    """The row of ``wide_profile`` for a stored table, from its footers.
+
+    A column has no bounds in a footer where a row group is all NULL or holds NaN; then its values are read. Values are
+    also read to count negative ones, but only of columns whose least value is one.
+    """
+    table = spark.read.parquet(path)
+    try:
+        found = footer_aggregate(spark, path, ranges).first().asDict()
+    except (PySparkException, Py4JJavaError):  # bounds are missing: the counts still come from the footers
+        found = footer_aggregate(spark, path).first().asDict()
+        bounds = table.agg(*(F.min(c).alias(f"min_{c}") for c in ranges), *(F.max(c).alias(f"max_{c}") for c in ranges))
+        found |= bounds.first().asDict()
+    # Counts of no row group at all add up to NULL.
+    found |= {c: 0 for c in found if found[c] is None and c.startswith(("rows", "filled_"))}
+    below = [c for c in negatives if found[f"min_{c}"] is not None and not found[f"min_{c}"] >= 0]
+    counted = table.agg(*(F.count_if(F.col(c) < 0).alias(c) for c in below)).first().asDict() if below else {}
+    values = {"rows": found["rows"]}
+    values |= {f"null_{c}": found["rows"] - found[f"filled_{c}"] for c in table.columns}
+    # 0.0 is kept as -0.0 in a footer's minimum; adding zero takes the sign off.
+    values |= {f"{side}_{c}": None if found[f"{side}_{c}"] is None else float(found[f"{side}_{c}"]) + 0.0 for side in ("min", "max") for c in ranges}
+    values |= {f"negative_{c}": counted.get(c, 0) for c in negatives}
+    kinds = [T.StructField(n, T.DoubleType() if n.startswith(("min_", "max_")) else T.LongType()) for n in values]
+    return spark.createDataFrame([tuple(values.values())], T.StructType(kinds))
+
+
+def quality_report(
+    df: DataFrame, *, target_rows: int | None = None, label: str = "Churn", profile: DataFrame | None = None
+) -> DataFrame:
+    """Every check as rows of (check, column, value, ok). ``profile`` is a ``wide_profile`` taken before."""
+    wide = wide_profile(df) if profile is None else profile
+
     def entry(check: str, column: str | Column, value: Column, ok: Column) -> list[Column]:
         return [
             F.lit(check).alias("check"),
@@ -132,9 +221,9 @@ def issue_rows(issues: DataFrame) -> DataFrame:
     )
 
 
-def partition_rows(profile: DataFrame) -> DataFrame:
-    """The partition profile in the shape of the quality report."""
-    named = [F.struct(F.lit("partition").alias("check"), F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.lit(None).cast("boolean").alias("ok")) for c in profile.columns]
+def partition_rows(profile: DataFrame, check: str = "partition") -> DataFrame:
+    """A one-row profile in the shape of the quality report."""
+    named = [F.struct(F.lit(check).alias("check"), F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.lit(None).cast("boolean").alias("ok")) for c in profile.columns]
     return profile.select(F.inline(F.array(*named)))
 
 

@@ -56,12 +56,17 @@ def scale_up_job(
 def ingest_job(
     spark: SparkSession, table: str, report: str | None = None, *, target_rows: int | None = TARGET_ROWS
 ) -> DataFrame:
-    """Schema and data-quality report of a subscriber table, written as JSON when a path is given."""
+    """Schema and data-quality report of a subscriber table, written as JSON when a path is given.
+
+    Counts, nulls and ranges come from the footers and file sizes from the scan; only the class column is read, and
+    columns with negative values.
+    """
     df = read_parquet(spark, table)
     result = (
-        quality.quality_report(df, target_rows=target_rows)
+        quality.quality_report(df, target_rows=target_rows, profile=quality.footer_profile(spark, table))
         .unionByName(quality.issue_rows(quality.schema_issues(df)))
         .unionByName(quality.partition_rows(quality.partition_profile(df)))
+        .unionByName(quality.partition_rows(quality.file_skew(df), "files"))
     )
     if report is None:
         return result

@@ -70,6 +70,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in ``folder``, sorted; none where it does not exist."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(location)) if files.exists(location) else []
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file, in one step; fails if there is one."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(location, False).close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens where there is none."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def require_path(spark: SparkSession, path: str, what: str) -> None:
     if not path_exists(spark, path):
         raise FileNotFoundError(f"{what} not found: {path}")

@@ -469,6 +469,21 @@ FROM pairs LEFT JOIN indexed USING ("column", value) JOIN widths USING ("column"
         "SELECT customerID, CAST(Churn AS DOUBLE) AS label, CAST(slot AS INTEGER) AS slot, "
         "slots.value FROM slots JOIN complete USING (customerID) WHERE slots.value <> 0",
     ),
+    "footer_profile": _with(
+        _GAPPY,
+        "SELECT count(*) AS rows, "
+        + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in SUBSCRIBER_TYPES)
+        + ", "
+        + ", ".join(f"CAST(min({c}) AS DOUBLE) AS min_{c}, CAST(max({c}) AS DOUBLE) AS max_{c}" for c in RANGE_COLUMNS)
+        + ", count(*) FILTER (WHERE tenure < 0) AS negative_tenure, count(*) FILTER (WHERE MonthlyCharges < 0) AS \"negative_MonthlyCharges\" FROM gappy",
+    ),
+    "stored_order_ranges": (
+        "SELECT count(*) AS rows, "
+        + ", ".join(f"count({c}) AS filled_{c}" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+        + ", min(o_orderkey) AS min_o_orderkey, min(o_custkey) AS min_o_custkey, max(o_orderkey) AS max_o_orderkey, "
+        "max(o_custkey) AS max_o_custkey FROM orders"
+    ),
+    "file_skew_checks": "SELECT CAST(6 AS BIGINT) AS files, count(*) AS rows, true AS fits FROM orders",
     "routed_labels": _with(_ROUTED, "SELECT customerID, label, label_status FROM routed"),
     "routed_label_counts": _with(
         _ROUTED,

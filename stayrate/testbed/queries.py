@@ -219,6 +219,30 @@ def quality_report(spark, sf):
     return quality.quality_report(tables.gappy_subscribers(spark, sf), target_rows=2_000_000)
 
 
+@_query
+def footer_profile(spark, sf):
+    """Rows, missing values and ranges of a stored table, without reading its columns."""
+    path = scratch_path(spark, "profiled")
+    write_parquet(tables.gappy_subscribers(spark, sf), path)
+    return quality.footer_profile(spark, path)
+
+
+@_query
+def stored_order_ranges(spark, sf):
+    found = quality.footer_aggregate(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey"]).first()
+    return spark.createDataFrame([found])
+
+
+@_query
+def file_skew_checks(spark, sf):
+    """Rows by stored file, added up, and whether sizes, counts and skews fit together."""
+    path = scratch_path(spark, "files")
+    write_file_count(tables.table(spark, sf, "orders"), path, files=6)
+    skew = quality.file_skew(readers.read_parquet(spark, path))
+    fits = (F.col("max_bytes") >= F.col("mean_bytes")) & (F.col("bytes_skew") >= 1) & (F.col("rows_skew") < 1.5) & (F.col("splits") >= F.col("files"))
+    return skew.select("files", "rows", fits.alias("fits"))
+
+
 @_query
 def partition_profile(spark, sf):
     return quality.partition_profile(tables.table(spark, sf, "lineitem"))

@@ -1,9 +1,12 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Binarizer
 from pyspark.sql import functions as F
 
+from stayrate.operators import quality
 from stayrate.schemas import SUBSCRIBER_TYPES
-from stayrate.sources import readers, storage, writers
+from stayrate.sources import models, readers, storage, writers
 
 HEADER = ",".join(SUBSCRIBER_TYPES)
 ROW = "{id},Male,0,No,No,{tenure},Yes,No,DSL,No,No,No,No,No,No,Two year,No,Mailed check,20.5,{total},{churn}"
@@ -107,3 +110,67 @@ def test_files_are_sized_by_bytes(spark, tmp_path, parts):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_broken_save_leaves_the_published_model(spark, tmp_path):
+    rows = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "x double, label double")
+
+    def fitted(threshold):
+        return Pipeline(stages=[Binarizer(threshold=threshold, inputCol="x", outputCol="y")]).fit(rows)
+
+    def loaded():
+        return models.load_model(spark, str(tmp_path), "LR").stages[0].getThreshold()
+
+    class Breaking:
+        def write(self):
+            return self
+
+        def save(self, folder):
+            fitted(9.0).stages[0].write().save(f"{folder}/stages/half")
+            raise OSError("lost")
+
+    assert not models.has_model(spark, str(tmp_path), "LR")
+    with pytest.raises(FileNotFoundError, match="LR_best"):
+        models.load_model(spark, str(tmp_path), "LR")
+    fitted(1.0).write().save(f"{tmp_path}/LR_best")  # as it was saved before there were versions
+    assert models.has_model(spark, str(tmp_path), "LR") and loaded() == 1.0
+    for threshold in (2.0, 3.0, 4.0):
+        models.save_model(fitted(threshold), str(tmp_path), "LR")
+        assert loaded() == threshold
+        with pytest.raises(OSError, match="lost"):
+            models.save_model(Breaking(), str(tmp_path), "LR")
+        assert loaded() == threshold
+    assert len(list((tmp_path / "LR_best/published").glob("0*"))) == models.KEPT
+
+
+@pytest.mark.parametrize("shape", ["plain", "all null", "nan", "negative zero", "empty"])
+def test_footer_profile_equals_a_scan(spark, tmp_path, shape):
+    row = "id, double(id) AS tenure, double(id - 2) / 3 AS MonthlyCharges, IF(id % 3 > 0, id * 1.5D, NULL) AS TotalCharges, IF(id % 2 > 0, 'x', NULL) AS name"
+    df = spark.sql(f"SELECT {row} FROM range(100)")
+    change = {
+        "all null": F.lit(None).cast("double"),
+        "nan": F.when(F.col("id") == 7, float("nan")).otherwise(F.col("tenure")),
+        "negative zero": F.when(F.col("id") % 2 == 0, -0.0).otherwise(0.0),
+    }
+    df = df.withColumn("tenure", change.get(shape, F.col("tenure"))).filter("id < 0" if shape == "empty" else "true")
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    expected, found = (p.first().asDict() for p in (quality.wide_profile(stored), quality.footer_profile(spark, str(tmp_path / "t"))))
+    assert {c: repr(v).replace("-0.0", "0.0") for c, v in found.items()} == {c: repr(v).replace("-0.0", "0.0") for c, v in expected.items()}
+
+
+def test_footers_answer_without_reading_a_column(spark, tmp_path):
+    spark.range(100).selectExpr("id AS tenure", "id * 2.0D AS MonthlyCharges").write.parquet(str(tmp_path / "t"))
+    plan = quality.footer_aggregate(spark, str(tmp_path / "t"), ["tenure", "MonthlyCharges"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(tenure), COUNT(MonthlyCharges), MIN(tenure), MIN(MonthlyCharges), MAX(tenure), MAX(MonthlyCharges)]" in plan
+
+
+def test_file_skew_matches_the_disk(spark, tmp_path):
+    spark.range(10_000).withColumn("part", F.when(F.col("id") < 9_000, 0).otherwise(F.col("id") % 4)).repartition(4, "part").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    sizes = [f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet")]
+    skew = quality.file_skew(spark.read.parquet(str(tmp_path / "t"))).first()
+    assert (skew["files"], skew["rows"], skew["max_bytes"]) == (len(sizes), 10_000, max(sizes))
+    assert skew["bytes_skew"] == pytest.approx(max(sizes) * len(sizes) / sum(sizes)) and skew["rows_skew"] > 3
+    profile = quality.file_profile(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted(r["bytes"] for r in profile.collect()) == sorted(sizes)
+    assert "ReadSchema: struct<>" in profile._jdf.queryExecution().executedPlan().toString()
