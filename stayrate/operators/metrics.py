@@ -117,3 +117,10 @@ def binned_auc(predictions: DataFrame, *, raw: str = "probability", bins: int =
     """Spark's own area under ROC; ``bins=0`` makes it exact."""
     evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=raw, metricName="areaUnderROC", numBins=bins)
     return evaluator.evaluate(predictions)
+
+
+def auc_error(auc: Column, positives: Column, negatives: Column) -> Column:
+    """Standard error of an area under ROC (Hanley and McNeil)."""
+    q1, q2 = auc / (2 - auc), 2 * auc * auc / (1 + auc)
+    spread = auc * (1 - auc) + (positives - 1) * (q1 - auc * auc) + (negatives - 1) * (q2 - auc * auc)
+    return F.sqrt(F.greatest(spread, F.lit(0.0)) / F.nullif(positives * negatives, F.lit(0)))

@@ -135,12 +135,14 @@ def cross_validate(train: DataFrame, estimator: Estimator, grid: list[dict], con
 
 
 def train_all(train: DataFrame, config: TrainingConfig) -> dict[str, CrossValidatorModel]:
-    """Search all models side by side, ``config.parallelism`` fits at a time over models and grid points.
+    """Search all models, ``config.parallelism`` fits at a time over models and grid points.
 
-    The fits do not depend on each other; the driver holds models only, the rows stay in ``train``.
+    A grid with that many points keeps all fits busy, so such searches run one after the other; smaller ones run
+    side by side. The fits do not depend on each other; the driver holds models only, the rows stay in ``train``.
     """
     searches = candidates(config)
-    at_once = max(1, min(len(searches), config.parallelism))
+    points = max((len(grid) for _, grid in searches.values()), default=1)
+    at_once = max(1, min(len(searches), config.parallelism // points))
     each = replace(config, parallelism=max(1, config.parallelism // at_once))
     with ThreadPoolExecutor(at_once) as pool:
         fits = {name: pool.submit(cross_validate, train, est, grid, each) for name, (est, grid) in searches.items()}

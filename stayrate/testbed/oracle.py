@@ -534,6 +534,16 @@ _PER_MODEL = "SELECT model, count(*) FILTER (WHERE label = 1) AS positives, coun
 _MODELS = "(SELECT unnest(['LR', 'RF', 'GBT']) AS model)"
 _NUMBERS = ", ".join(f"'{c}'" for c in NUMERIC_COLUMNS)
 _CATEGORIES = ", ".join(f"'{c}'" for c in CATEGORICAL_COLUMNS)
+_NAMED = f"""{_HELD},
+bucketed AS (SELECT *, {_BUCKET} AS tenure_bucket FROM known WHERE {_TRAIN}),
+pairs AS (SELECT "column", value FROM bucketed UNPIVOT (value FOR "column" IN ({', '.join(CATEGORICAL_COLUMNS)}))),
+counted AS (SELECT "column", value, count(*) AS n FROM pairs GROUP BY ALL),
+named AS (
+  SELECT row_number() OVER (ORDER BY list_position([{_CATEGORIES}], "column"), n DESC, value) + {len(NUMERIC_COLUMNS)} - 1 AS slot,
+         "column" || '_ohe_' || value AS feature
+  FROM counted
+  UNION ALL SELECT generate_subscripts([{_NUMBERS}], 1) - 1, unnest([{_NUMBERS}])
+)"""
 
 ORACLE |= {
     "score_checks": _with(_HELD, f"SELECT model, customerID, label, true AS in_range, true AS consistent FROM held, {_MODELS}"),
@@ -542,22 +552,23 @@ ORACLE |= {
     "bernoulli_sample_checks": "SELECT count(*) AS orders, CAST(1 AS BIGINT) AS most_copies, true AS size_fits FROM orders",
     "random_split_checks": "SELECT o_orderkey, CAST(1 AS BIGINT) AS sides FROM orders",
     "partition_profile_checks": 'SELECT count(*) AS "rows", true AS consistent FROM lineitem',
-    "cv_checks": "SELECT 'LR' AS model, CAST(4 AS BIGINT) AS points, CAST(1 AS BIGINT) AS best, true AS is_maximum, true AS differ",
+    "cv_checks": _with(
+        _HELD,
+        f"SELECT model, CAST(4 AS BIGINT) AS points, CAST(1 AS BIGINT) AS best, true AS is_maximum, true AS differ, "
+        f"count(*) AS train_rows, CAST(3 AS BIGINT) AS folds FROM known, {_MODELS} WHERE {_TRAIN} GROUP BY model",
+    ),
+    "lr_score_equations": _with(_NAMED, "SELECT CAST(slot AS INTEGER) AS slot, feature, CAST(0 AS DOUBLE) AS mean_residual FROM named"),
+    "model_quality_checks": _with(_HELD, f"{_PER_MODEL}, true AS above_floor FROM held, {_MODELS} GROUP BY model"),
+    "top_features_checks": _with(_NAMED, "SELECT row_number() OVER () AS place, true AS known FROM named QUALIFY place <= 5"),
+    "refused_inputs": _with(
+        _SUBSCRIBERS,
+        "SELECT input, count(*) AS table_rows, refused_with FROM subscribers, (VALUES ('missing table', 'FileNotFoundError'), "
+        "('no label column', 'ValueError'), ('no numeric column', 'ValueError'), ('no split column', 'ValueError'), "
+        "('missing model', 'FileNotFoundError'), ('unknown score format', 'ValueError')) AS t(input, refused_with) GROUP BY ALL",
+    ),
     "model_comparison_checks": _with(_HELD, f"{_PER_MODEL}, true AS in_range FROM held, {_MODELS} GROUP BY model"),
     "evaluation_summary_checks": _with(_HELD, f"{_PER_MODEL}, true AS named FROM held, {_MODELS} GROUP BY model"),
-    "feature_importance_checks": _with(
-        f"""{_HELD},
-bucketed AS (SELECT *, {_BUCKET} AS tenure_bucket FROM known WHERE {_TRAIN}),
-pairs AS (SELECT "column", value FROM bucketed UNPIVOT (value FOR "column" IN ({', '.join(CATEGORICAL_COLUMNS)}))),
-counted AS (SELECT "column", value, count(*) AS n FROM pairs GROUP BY ALL),
-named AS (
-  SELECT row_number() OVER (ORDER BY list_position([{_CATEGORIES}], "column"), n DESC, value) + {len(NUMERIC_COLUMNS)} - 1 AS slot,
-         "column" || '_ohe_' || value AS feature
-  FROM counted
-  UNION ALL SELECT generate_subscripts([{_NUMBERS}], 1) - 1, unnest([{_NUMBERS}])
-)""",
-        "SELECT CAST(slot AS INTEGER) AS slot, feature, true AS shares FROM named",
-    ),
+    "feature_importance_checks": _with(_NAMED, "SELECT CAST(slot AS INTEGER) AS slot, feature, true AS shares FROM named"),
     "binned_auc_checks": "SELECT unnest(['probability', 'rawPrediction']) AS ranked_by, true AS close, CAST(2 AS BIGINT) AS ways",
     "label_accounts": _with(
         _SUBSCRIBERS,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -507,8 +508,8 @@ _FAST = training.TrainingConfig(fast=True)
 
 @_query
 def cv_metrics(spark, sf):
-    config = training.TrainingConfig(models=("LR",))
-    return jobs.training_job(spark, _store(spark, sf), config=config).cross_validation
+    """The whole grids of all three models."""
+    return jobs.training_job(spark, _store(spark, sf)).cross_validation
 
 
 @_query
@@ -629,13 +630,91 @@ def partition_profile_checks(spark, sf):
 @_query
 def cv_checks(spark, sf):
     """Of each model: grid points, how many are best, whether the best has the highest mean, whether means differ."""
-    table = cv_metrics(spark, sf)
-    return table.groupBy("model").agg(
+    store = _store(spark, sf)
+    config = training.TrainingConfig()
+    known = training.split_rows(spark.read.parquet(store), config)[0]
+    folds = known.agg(F.count("*").alias("train_rows"), F.count_distinct("fold").alias("folds"))
+    points = jobs.training_job(spark, store, config=config).cross_validation.groupBy("model").agg(
         F.count("*").alias("points"),
         F.count_if("is_best").alias("best"),
         (F.max(F.when(F.col("is_best"), F.col("mean_auc"))) == F.max("mean_auc")).alias("is_maximum"),
         (F.countDistinct("mean_auc") > 1).alias("differ"),
     )
+    return points.join(F.broadcast(folds))  # one row
+
+
+@_query
+def lr_score_equations(spark, sf):
+    """Without a penalty the mean residual times a feature is 0 over the training rows, for each feature.
+
+    It is given in standard deviations of the feature, to two places.
+    """
+    stored = spark.read.parquet(_store(spark, sf))
+    train, _ = sampling.hash_split(stored, "customerID")
+    model = LogisticRegression(maxIter=500, tol=1e-12).fit(training.model_inputs(train))
+    residual = C.positive_probability(F.col("probability")) - F.col("label")
+    slots = model.transform(train).select(residual.alias("residual"), F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    spread = F.nullif(F.stddev_pop("x"), F.lit(0.0))
+    means = slots.groupBy("slot").agg(F.abs(F.round(F.avg(F.col("residual") * F.col("x")) / spread, 2)).alias("scaled"))
+    names = spark.createDataFrame(list(importance.feature_names(stored).items()), "slot int, feature string")
+    return names.join(means, "slot").select("slot", "feature", F.coalesce("scaled", F.lit(0.0)).alias("mean_residual"))
+
+
+#: What models on the planted label reach on held-out rows (FIXTURES section 4), with room.
+AUC_FLOOR = 0.62
+
+
+@_query
+def model_quality_checks(spark, sf):
+    """Held-out rows by class, and whether each model's AUC is above the floor but for two standard errors."""
+    train, test = sampling.hash_split(spark.read.parquet(_store(spark, sf)), "customerID")
+    models = {name: training.train_fixed(train, name) for name in ("LR", "RF", "GBT")}
+    report = training.model_report(scoring.stacked_predictions(models, test))
+    positives, negatives = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
+    error = metrics.auc_error(F.col("auc"), positives, negatives)
+    return report.select("model", positives.alias("positives"), negatives.alias("negatives"), (F.col("auc") + 2 * error >= AUC_FLOOR).alias("above_floor"))
+
+
+@_query
+def top_features_checks(spark, sf):
+    """The five names of ``top_features`` against the whole ranking: place, and whether no other feature ranks above it."""
+    stored = spark.read.parquet(_store(spark, sf))
+    train, _ = sampling.hash_split(stored, "customerID")
+    table = importance.importance_table({"GBT": training.train_fixed(train, "GBT")}, importance.feature_names(stored), spark)
+    top = importance.top_features(table, "GBT").select(F.col("feature").alias("named"), F.col("importance").alias("share"))
+    higher = (F.col("importance") > F.col("share")) | ((F.col("importance") == F.col("share")) & (F.col("feature") < F.col("named")))
+    # A handful of features on one side, the model's slots on the other.
+    ranks = top.join(F.broadcast(table), F.col("importance") >= F.col("share")).groupBy("named").agg(F.count_if(higher).alias("above"), F.count_if(F.col("feature") == F.col("named")).alias("itself"))
+    return ranks.select((F.col("above") + 1).alias("place"), (F.col("itself") == 1).alias("known"))
+
+
+@_query
+def refused_inputs(spark, sf):
+    """One row for each input that a job must refuse, and how many rows of the table it was tried with."""
+    path = scratch_path(spark, "refused")
+    rows = tables.planted_subscribers(spark, sf)
+    write_parquet(rows.drop("Churn"), f"{path}/unlabelled")
+    write_parquet(rows.select("customerID", F.col("Churn").cast("double").alias("label")), f"{path}/no_numbers")
+    write_parquet(rows, f"{path}/no_key")
+    n = spark.read.parquet(f"{path}/unlabelled").count()
+    tried = {
+        "missing table": lambda: jobs.feature_job(spark, f"{path}/none", f"{path}/out"),
+        "no label column": lambda: jobs.training_job(spark, f"{path}/unlabelled"),
+        "no numeric column": lambda: jobs.training_job(spark, f"{path}/no_numbers", config=_FAST),
+        "no split column": lambda: jobs.training_job(spark, f"{path}/no_key", config=training.TrainingConfig(split_key="source_row")),
+        "missing model": lambda: jobs.scoring_job(spark, f"{path}/no_key", f"{path}/models", f"{path}/out"),
+        "unknown score format": lambda: jobs.scoring_job(spark, f"{path}/no_key", f"{path}/models", f"{path}/out", output_format="orc"),
+    }
+    found = [(name, n, _refusal(run)) for name, run in tried.items()]
+    return spark.createDataFrame(found, "input string, table_rows long, refused_with string")
+
+
+def _refusal(run) -> str:
+    try:
+        run()
+    except (FileNotFoundError, ValueError) as error:
+        return type(error).__name__
+    return "nothing"
 
 
 @_query

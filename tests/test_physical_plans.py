@@ -100,7 +100,7 @@ def test_curve_window_reuses_the_join_partitioning(spark, sf_dir):
 
 def test_no_python_in_any_relational_query(spark, sf_dir):
     learned = {"lr_scores", "rf_scores", "gbt_scores", "cv_metrics", "model_comparison", "feature_importance", "top_features"}
-    learned |= {"binned_auc", "batch_predict", "evaluation_summary", "vector_input_scores"}
+    learned |= {"binned_auc", "batch_predict", "evaluation_summary", "vector_input_scores", "cv_checks"}
     for name in sorted(set(QUERIES) - learned):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
