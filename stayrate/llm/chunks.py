@@ -261,7 +261,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYT
     buckets = bucket_count(corpus_bytes(docs, text), BUCKET_BYTES)
     blocks = chunk_blocks(docs, buckets, text, reach)
     flags = blocks.groupBy("bucket").applyInArrow(_judge, BLOCK_SCHEMA)
-    return flags.groupBy("bucket").applyInArrow(_spans(min_bytes, min_words), SPAN_SCHEMA)
+    # Rows equal in doc_id and text bring the same spans, in one home or in several.
+    return flags.groupBy("bucket").applyInArrow(_spans(min_bytes, min_words), SPAN_SCHEMA).dropDuplicates(["doc_id", "text_hash"])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYTES, reach: int = REACH, min_words: int = MIN_WORDS) -> DataFrame:

@@ -116,3 +116,16 @@ def test_periodic_passages_and_short_words_are_found(documents):
     rows.append((1000, text_of(draw, 40) + " " + "la " * 180 + text_of(draw, 40)))
     got = {r.doc_id for r in chunks.repeated_spans(documents(rows)).collect()}
     assert got == {i for i, _ in rows}
+
+
+def test_repeated_rows_give_one_result_row_in_any_layout(documents):
+    draw = random.Random(21)
+    words = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 8))) for _ in range(n))
+    shared = words(120)
+    rows = [(1, f"{words(40)} {shared}"), (2, f"{shared} {words(40)}")]
+    rows += [rows[1]] * 3
+    results = []
+    for parts in (1, 5):
+        found = chunks.repeated_spans(documents(rows).repartition(parts)).collect()
+        results.append(sorted((r.doc_id, r.text_hash, tuple(map(tuple, r.spans))) for r in found))
+    assert results[0] == results[1] and [r[0] for r in results[0]] == [1, 2]
