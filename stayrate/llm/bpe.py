@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,8 @@ VOCABULARY = "byte_bpe_50k.json"
 LEXICON_WORDS = 65_536
 MEMO_WORDS = 400_000
 COUNT_WORDS = 200_000
+#: Tokens that are decoded at once.
+DECODE_TOKENS = 1 << 20
 
 _NEVER = 1 << 62
 
@@ -374,6 +377,29 @@ def encode(docs: DataFrame, vocab: str | None = None, text: str = "text", lexico
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def decoded_texts(lists: pa.Array, tables: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+    """Texts of many id lists at once; null stays null."""
+    flat, starts, lengths = tables
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    tokens = np.asarray(pc.fill_null(pc.list_flatten(lists), -1).to_numpy(zero_copy_only=False), dtype=np.int64)
+    known = (tokens >= 0) & (tokens < len(lengths))
+    if not known.all():
+        tokens = np.where(known, tokens, 0)
+    width = np.where(known, lengths[tokens], 0)
+    raw = flat[ranges(starts[tokens], width)]
+    bytes_before = np.append(0, np.cumsum(width, dtype=np.int64))
+    offsets = bytes_before[np.append(0, np.cumsum(sizes, dtype=np.int64))]
+    mask = pa.py_buffer(np.packbits(np.asarray(lists.is_valid().to_numpy(zero_copy_only=False)), bitorder="little").tobytes())
+    texts = pa.Array.from_buffers(pa.large_string(), len(lists), [mask, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:  # some text is no UTF-8
+        whole = raw.tobytes()
+        rows = (whole[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(offsets[:-1], offsets[1:], lists.is_valid().to_pylist()))
+        texts = pa.array(list(rows), pa.large_string())
+    return texts.cast(pa.string())
+
+
 def decode(encoded: DataFrame, vocab: str | None = None, ids: str = "token_ids") -> DataFrame:
     """``encoded`` with ``decoded`` text; bytes that are no UTF-8 become replacement characters.
 
@@ -384,17 +410,16 @@ def decode(encoded: DataFrame, vocab: str | None = None, ids: str = "token_ids")
     at = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts, lengths = vocabulary(vocab).decode_tables()
+        tables = vocabulary(vocab).decode_tables()
         for batch in batches:
-            texts: list[str | None] = []
-            for value in batch.column(at):
-                if not value.is_valid:
-                    texts.append(None)
-                    continue
-                tokens = np.asarray(value.values.to_numpy(zero_copy_only=False), dtype=np.int64)
-                tokens = tokens[(tokens >= 0) & (tokens < len(lengths))]
-                texts.append(flat[ranges(starts[tokens], lengths[tokens])].tobytes().decode("utf-8", "replace") if len(tokens) else "")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, "decoded"])
+            first = 0
+            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes, dtype=np.int64)
+            while first < batch.num_rows:  # rows of about a million tokens at a time, or one longer row
+                last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + DECODE_TOKENS, side="right"))
+                part = batch.slice(first, max(1, last - first))
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded_texts(part.column(at), tables)], names=[*kept, "decoded"])
+                first += part.num_rows
 
     schema = encoded.select(*kept).schema.add("decoded", "string")
     return encoded.select(*kept).mapInArrow(run, schema)
