@@ -85,6 +85,29 @@ def test_odd_rows_pass_every_stage(spark, documents, odd_rows, tmp_path):
         assert set(docs.columns) <= set(now.columns)
 
 
+def _prose(draw, n):
+    return " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(n))
+
+
+def test_rows_that_share_an_id_are_told_apart(spark, documents, sf_dir):
+    draw = random.Random(11)
+    one, two, three, four = (_prose(draw, 60) for _ in range(4))
+    near = " ".join(["changed", *one.split()[1:]])
+    rows = [(3, one), (3, two), (None, three), (None, four), (5, near), (None, three), (9, four), (3, two)]
+    kept = corpus_pipeline.keep_one_of_similar(spark, documents(rows), sf_dir).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(3, one), (3, two), (None, three), (9, four)], key=str)
+
+
+def test_only_the_row_with_a_leak_goes(spark, documents, tmp_path):
+    draw = random.Random(12)
+    item, clean, other = _prose(draw, 25), _prose(draw, 60), _prose(draw, 60)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    held = f"{_prose(draw, 20)} {item} {_prose(draw, 20)}"
+    rows = [(None, held), (None, clean), (4, held), (4, other), (5, None), (6, "")]
+    kept = corpus_pipeline.drop_leaks(spark, documents(rows), str(tmp_path)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, clean), (4, other), (5, None), (6, "")], key=str)
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
