@@ -26,16 +26,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of doc_id and text: rows that share a doc_id, or have none, are told apart by their texts."""
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
+    parts = [part for c in ("doc_id", "text") for part in (F.col(c).isNull(), F.col(c))]
+    return docs.withColumn(name, F.xxhash64(*parts)), name
+
+
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one that names it.
+    """One document of each component: the one with the smallest doc_id, a null one last.
 
-    Rows with a null doc_id cannot name a component and stay; of rows that repeat a doc_id one stays.
+    Components are those of rows, not of ids: unlike texts that share a doc_id, or have none, all stay. Of
+    rows equal in doc_id and text one stays.
     """
     table(spark, sf_dir, "documents")  # readies the workers
-    named = jaccard.similar_components(docs)
-    ids = named.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+    keyed, key = _keyed(docs)
+    named = jaccard.similar_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = keyed.select(F.col(key).alias("_key"), F.col("doc_id").alias("_id")).distinct()
+    order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_key"))
+    kept = named.join(ids, "_key").groupBy("component_id").agg(F.min_by("_key", order).alias(key)).select(key)
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key, "doc_id"]).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +58,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item. Only the rows that hold one go, whatever their doc_id."""
+    keyed, key = _keyed(docs)
+    leaks = decontaminate.find_leaks(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return keyed.join(leaks.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
