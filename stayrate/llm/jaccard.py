@@ -169,20 +169,53 @@ def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
     return a[new], b[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def _match(rows: pa.Table, frequent: int) -> pa.Table:
-    """One bucket of the matrix: how much of each set every other group's union holds."""
+_MEMBER = np.uint64(24)  # beside the 40 bits of a stored shingle
+
+
+def _sorted_entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct sets of a bucket by group, and its entries by shingle, group and set, each once.
+
+    An entry is sorted as one number, so that a bucket needs little more than its own size.
+    """
     heads, body, owner = unpack(rows.column("head"), rows.column("body"), HEAD, BODY)
+    order = np.lexsort((heads["sid"], heads["gid"]))
+    heads = heads[order]
+    kept = runs(heads["gid"], heads["sid"])
+    rank = np.zeros(len(heads), dtype=np.int64)
+    rank[order] = np.searchsorted(kept, np.arange(len(heads)), side="right") - 1
+    member = rank[owner]
+    del owner
     token = body["low"].astype(np.uint64) | (body["high"].astype(np.uint64) << np.uint64(32))
-    order = np.lexsort((heads["sid"][owner], heads["gid"][owner], token))
-    token, owner = token[order], owner[order]
-    keep = runs(token, heads["gid"][owner], heads["sid"][owner])
-    token, owner = token[keep], owner[keep]
-    sid, gid, size = heads["sid"][owner], heads["gid"][owner], heads["size"][owner].astype(np.int64)
-    counted = ((size < PART) | (token >= np.uint64(1 << 39))).astype(np.int64)
+    del body
+    if len(kept) < 1 << int(_MEMBER):
+        token <<= _MEMBER
+        token |= member.view(np.uint64)
+        del member
+        token.sort()
+        token = token[runs(token)]
+        return heads[kept], token >> _MEMBER, (token & np.uint64((1 << int(_MEMBER)) - 1)).astype(np.int32)
+    order = np.lexsort((member, token))
+    token, member = token[order], member[order]
+    once = runs(token, member)
+    return heads[kept], token[once], member[once]
+
+
+def _match(rows: pa.Table, frequent: int) -> pa.Table:
+    """One bucket of the matrix: how much of each set every other group's union holds."""
+    heads, token, member = _sorted_entries(rows)
+    # A shingle of one group says nothing about others, and most are: what follows holds the rest only.
+    group = np.cumsum(np.append(0, heads["gid"][1:] != heads["gid"][:-1])).astype(np.int32)[member] if len(heads) else member
     new = runs(token)
     entries = np.diff(np.append(new, len(token)))
+    columns = np.diff(np.append(np.searchsorted(runs(token, group), new), len(runs(token, group))))  # groups that have the shingle
+    shared = columns > 1
+    use = ranges(new[shared], entries[shared])
+    token, member, entries, columns = token[use], member[use], entries[shared], columns[shared]
+    new = np.cumsum(entries) - entries
+    sid, gid, size = heads["sid"][member], heads["gid"][member], heads["size"][member].astype(np.int64)
+    del group, use, member
+    counted = ((size < PART) | (token >= np.uint64(1 << 39))).astype(np.int64)
     cells = runs(token, gid)  # one for each set cell of the matrix
-    columns = np.diff(np.append(np.searchsorted(cells, new), len(cells)))  # groups that have the shingle
     out = []
 
     hot = columns > frequent
