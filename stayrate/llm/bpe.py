@@ -42,7 +42,7 @@ LEXICON_WORDS = 65_536
 MEMO_WORDS = 400_000
 COUNT_WORDS = 200_000
 #: Tokens that are decoded at once.
-DECODE_TOKENS = 1 << 20
+DECODE_TOKENS = 1 << 17
 
 _NEVER = 1 << 62
 
@@ -415,7 +415,7 @@ def decode(encoded: DataFrame, vocab: str | None = None, ids: str = "token_ids")
             first = 0
             sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(sizes, dtype=np.int64)
-            while first < batch.num_rows:  # rows of about a million tokens at a time, or one longer row
+            while first < batch.num_rows:  # rows of so many tokens, or one longer row
                 last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + DECODE_TOKENS, side="right"))
                 part = batch.slice(first, max(1, last - first))
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded_texts(part.column(at), tables)], names=[*kept, "decoded"])
