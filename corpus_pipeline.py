@@ -19,9 +19,20 @@ from stayrate.llm.common import stored, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Documents that Spark hands to a Python worker at once: with the usual 10,000 the batches alone, in the executor
+#: and in its workers, take some hundred megabytes, and more where texts are long.
+BATCH_ROWS = 1_000
+
+
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of the given folder; readies the workers and keeps their batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return table(spark, sf_dir, name)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.3 or more."""
-    model = quality.learned(docs, table(spark, sf_dir, "labels"))
+    model = quality.learned(docs, documents(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, keep=tuple(docs.columns), name="_quality")
     return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
 
@@ -41,7 +52,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Components are those of rows, not of ids: unlike texts that share a doc_id, or have none, all stay. Of
     rows equal in doc_id and text one stays.
     """
-    table(spark, sf_dir, "documents")  # readies the workers
+    documents(spark, sf_dir)  # readies the workers
     keyed, key = _keyed(docs)
     named = jaccard.similar_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct()
     ids = keyed.select(F.col(key).alias("_key"), F.col("doc_id").alias("_id")).distinct()
@@ -52,7 +63,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document holds; n_chars follows the text."""
-    table(spark, sf_dir, "documents")
+    documents(spark, sf_dir)
     cut = chunks.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
@@ -60,13 +71,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. Only the rows that hold one go, whatever their doc_id."""
     keyed, key = _keyed(docs)
-    leaks = decontaminate.find_leaks(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = decontaminate.find_leaks(keyed.select(F.col(key).alias("doc_id"), "text"), documents(spark, sf_dir, "benchmark"))
     return keyed.join(leaks.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with token_ids, decoded and n_tokens."""
-    table(spark, sf_dir, "documents")
+    documents(spark, sf_dir)
     return bpe.decode(bpe.encode(docs)).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
@@ -83,7 +94,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs
