@@ -80,7 +80,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"stayrate-{args.job}").getOrCreate()
+    # Beyond this size of a generated method HotSpot interprets it.
+    builder = SparkSession.builder.appName(f"stayrate-{args.job}").config("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark = builder.getOrCreate()
     if args.job == "scale-up":
         jobs.scale_up_job(spark, args.input, args.output, rows=args.rows, seed=args.seed).show()
     elif args.job == "ingest":
