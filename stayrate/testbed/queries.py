@@ -633,14 +633,14 @@ def cv_checks(spark, sf):
     store = _store(spark, sf)
     config = training.TrainingConfig()
     known = training.split_rows(spark.read.parquet(store), config)[0]
-    folds = known.agg(F.count("*").alias("train_rows"), F.count_distinct("fold").alias("folds"))
+    found = known.agg(F.count("*").alias("rows"), F.count_distinct("fold").alias("folds")).first()
     points = jobs.training_job(spark, store, config=config).cross_validation.groupBy("model").agg(
         F.count("*").alias("points"),
         F.count_if("is_best").alias("best"),
         (F.max(F.when(F.col("is_best"), F.col("mean_auc"))) == F.max("mean_auc")).alias("is_maximum"),
         (F.countDistinct("mean_auc") > 1).alias("differ"),
     )
-    return points.join(F.broadcast(folds))  # one row
+    return points.withColumns({"train_rows": F.lit(found["rows"]).cast("long"), "folds": F.lit(found["folds"]).cast("long")})
 
 
 @_query
@@ -677,15 +677,14 @@ def model_quality_checks(spark, sf):
 
 @_query
 def top_features_checks(spark, sf):
-    """The five names of ``top_features`` against the whole ranking: place, and whether no other feature ranks above it."""
+    """The five names of ``top_features`` against the whole ranking: the place of each, and whether it brings its own share."""
     stored = spark.read.parquet(_store(spark, sf))
     train, _ = sampling.hash_split(stored, "customerID")
     table = importance.importance_table({"GBT": training.train_fixed(train, "GBT")}, importance.feature_names(stored), spark)
-    top = importance.top_features(table, "GBT").select(F.col("feature").alias("named"), F.col("importance").alias("share"))
-    higher = (F.col("importance") > F.col("share")) | ((F.col("importance") == F.col("share")) & (F.col("feature") < F.col("named")))
-    # A handful of features on one side, the model's slots on the other.
-    ranks = top.join(F.broadcast(table), F.col("importance") >= F.col("share")).groupBy("named").agg(F.count_if(higher).alias("above"), F.count_if(F.col("feature") == F.col("named")).alias("itself"))
-    return ranks.select((F.col("above") + 1).alias("place"), (F.col("itself") == 1).alias("known"))
+    top = importance.top_features(table, "GBT").withColumnRenamed("importance", "share")
+    whole = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")  # one row per vector slot
+    ranked = table.withColumn("place", F.row_number().over(whole).cast("long"))
+    return ranked.join(top, "feature").select("place", (F.col("importance") == F.col("share")).alias("known"))
 
 
 @_query
