@@ -20,7 +20,11 @@ What keeps this exact and small:
   thousands of comparisons, not millions. Only components are wanted, so no link between components
   is lost.
 
-Comparisons are made on whole texts. Equality of shingles is equality of 64-bit hashes. What can
+* **Sketches.** A pair is looked at by its sets' bit sketches first (half a byte to a byte a shingle): each bit
+  that one sketch has and the other lacks is a shingle that is not shared. Only pairs that may still
+  reach the similarity after that are compared shingle by shingle.
+
+Comparisons are made on the shingles of whole texts. Equality of shingles is equality of 64-bit hashes. What can
 grow with the square of a group's size is the comparison of many *unlike* covered sets that share the
 same frequent passages over six sevenths of their text and still differ in the rest.
 
@@ -50,6 +54,7 @@ BUCKET_BYTES = 14 << 20
 TASK_TOKENS = 1_000_000
 SKETCH = 4  # minimum hashes that members of a group share; fewer would group texts by a shared passage
 EXPAND = 2_000_000
+SKETCH_BITS = 64  # the shortest sketch
 
 HEAD = np.dtype([("sid", "<i8"), ("gid", "<i8"), ("size", "<u4"), ("n", "<u4")])
 BODY = np.dtype([("low", "<u4"), ("high", "u1")])
@@ -95,18 +100,41 @@ def describe(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return size, sid, gid, segment_sums((values < LOW).astype(np.int64), bounds)
 
 
+def sketches(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A bit set of 4 to 8 bits a shingle for each set; the lowest bits of a hash are its place."""
+    size = np.diff(bounds)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(4 * size, SKETCH_BITS))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    held = np.zeros(first[-1], dtype=bool)
+    owner = np.repeat(np.arange(len(size)), size)
+    held[first[owner] + (values & (bits[owner] - 1).view(np.uint64)).view(np.int64)] = True
+    offsets = pa.py_buffer((first // 8).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, offsets, pa.py_buffer(np.packbits(held).tobytes())])
+
+
+def most_shared(x: np.ndarray, y: np.ndarray, n: int, m: int) -> int:
+    """An upper bound of what two sets of n and m shingles share, from their sketches."""
+    while len(x) != len(y):  # the longer one is folded
+        if len(x) > len(y):
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] | y[len(y) // 2 :]
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+
+
 def shingle_info(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, size, sid, gid, low of every text."""
+    """doc_id, size, sid, gid, low, sketch of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in slices(batch.column(1)):
-                size, sid, gid, low = describe(*shingle_sets(data, offsets))
+                values, bounds = shingle_sets(data, offsets)
+                size, sid, gid, low = describe(values, bounds)
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": batch.column(0).slice(i, j - i), "size": pa.array(size), "sid": pa.array(sid), "gid": pa.array(gid), "low": pa.array(low)}
+                    {"doc_id": batch.column(0).slice(i, j - i), "size": pa.array(size), "sid": pa.array(sid), "gid": pa.array(gid), "low": pa.array(low), "sketch": sketches(values, bounds)}
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), text).mapInArrow(run, "doc_id long, size long, sid long, gid long, low long")
+    return docs.select(F.col("doc_id").cast("long"), text).mapInArrow(run, "doc_id long, size long, sid long, gid long, low long, sketch binary")
 
 
 def matrix_blocks(docs: DataFrame, buckets: int, text: str = "text") -> DataFrame:
@@ -251,35 +279,65 @@ def _match(rows: pa.Table, frequent: int) -> pa.Table:
     return pa.concat_tables(out) if out else _rows(0, *(np.zeros(0, np.int64),) * 3)
 
 
-def compare(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``edges`` whose whole texts reach the similarity. ``texts``: sid, text."""
+def _similar(shared: int, n: int, m: int) -> bool:
+    return 100 * shared >= 75 * (n + m - shared)
+
+
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the columns of ``sets`` (sid, ...) for either side, in order. Sets are looked up once each."""
+    asked = pairs.selectExpr("explode(array(a, b)) as sid").distinct()
+    rest = [c for c in sets.columns if c != "sid"]
+    once = sets.join(asked, "sid", "left_semi").dropDuplicates(["sid"])
+    sides = [once.select(F.col("sid").alias(side), *(F.col(c).alias(c + "_" + side) for c in rest)) for side in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", *(c + "_" + side for side in "ab" for c in rest))
+
+
+def promising(pairs: DataFrame, info: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches do not rule the similarity out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, x, m, y = (batch.column(k) for k in range(2, 6))
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for k, (i, j) in enumerate(zip(n.to_pylist(), m.to_pylist())):
+                one, two = (np.frombuffer(c[k].as_buffer(), dtype=np.uint8) for c in (x, y))
+                keep[k] = _similar(most_shared(one, two, i, j), i, j)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return _beside(pairs, info.where("size > 0").select("sid", "size", "sketch")).mapInArrow(run, "a long, b long")
+
+
+def shingles_of(docs: DataFrame, reps: DataFrame, text: str = "text") -> DataFrame:
+    """sid and its shingles, sorted, for each set of ``reps`` (sid, rep: a document that has it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        for batch in batches:
+            for i, j, data, offsets in slices(batch.column(1)):
+                values, bounds = shingle_sets(data, offsets)
+                sid = describe(values, bounds)[1]
+                # texts that share a doc_id with the one asked for are told apart by their sets
+                right = np.flatnonzero(sid == batch.column(0).slice(i, j - i).to_numpy())
+                parts = [values[bounds[r] : bounds[r + 1]].tobytes() for r in right]
+                yield pa.RecordBatch.from_pydict({"sid": pa.array(sid[right]), "shingles": pa.array(parts, pa.binary())})
 
-        def values(sid: int, text: str) -> np.ndarray | None:
-            raw = np.frombuffer(text.encode(), dtype=np.uint8)
-            found, bounds = shingle_sets(raw, np.array([0, len(raw)]))
-            return found if describe(found, bounds)[1][0] == sid else None
+    rows = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).where("text is not null")
+    return rows.join(reps, F.col("doc_id").eqNullSafe(F.col("rep"))).select("sid", "text").mapInArrow(run, "sid long, shingles binary")
 
+
+def compare(pairs: DataFrame, info: DataFrame, reps: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The pairs (a, b) that reach the similarity. info: sid, size, sketch; reps: sid, rep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, x, y = (batch.column(k) for k in range(4))
-            out: list[tuple[int, int]] = []
+            keep = np.zeros(batch.num_rows, dtype=bool)
             for k in range(batch.num_rows):
-                i, j = a[k].as_py(), b[k].as_py()
-                if held[0] != j:
-                    held = (j, values(j, y[k].as_py()))
-                one, two = values(i, x[k].as_py()), held[1]
-                if one is None or two is None:
-                    continue
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * shared >= 75 * (len(one) + len(two) - shared):
-                    out.append((i, j))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
-
-    left = texts.select(F.col("sid").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("sid").alias("b"), F.col("text").alias("y"))
-    return edges.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+                one, two = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=np.uint64) for c in (2, 3))
+                keep[k] = _similar(len(np.intersect1d(one, two, assume_unique=True)), len(one), len(two))
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    likely = stored(promising(pairs, info), "likely")
+    asked = reps.select("sid", "rep").join(likely.selectExpr("explode(array(a, b)) as sid").distinct(), "sid", "left_semi")
+    return _beside(likely, shingles_of(docs, asked, text)).mapInArrow(run, "a long, b long")
 
 
 def _pairs(edges: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -390,17 +448,6 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     )
     covered = measured.where("part - cover < floor(size / 4) + 1").select("sid")
 
-    # texts of every set that may be compared
-    several = reps.join(groups.where("members > 1").select("gid"), "gid", "left_semi").select("sid")
-    asked = open_.select("sid")
-    opened = reps.join(open_.select(F.col("other").alias("gid")).distinct(), "gid", "left_semi").select("sid")
-    led = groups.join(matches.where(f"kind = {STAR}").selectExpr("explode(array(a, b)) as gid").distinct(), "gid", "left_semi").selectExpr("leader as sid")
-    active = several.union(asked).union(opened).union(covered).union(led).distinct()
-    wanted = reps.join(active, "sid", "left_semi").select("sid", "rep")
-    texts = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("sid", "text").where("text is not null"), "texts"
-    )
-
     leaders = groups.select("gid", "leader")
     other = leaders.select(F.col("gid").alias("other"), F.col("leader").alias("b"))
     to_leader = reps.join(leaders, "gid").selectExpr("sid as a", "leader as b")
@@ -410,7 +457,7 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
         stars.join(leaders, "gid").join(other, "other").join(reps.selectExpr("sid as leader", "part"), "leader").where("4 * n >= part").selectExpr("leader as a", "b")
     )
     asked_first = stored(_pairs(to_leader.union(between).union(between_hot), reps), "pairs")
-    first = stored(compare(asked_first, texts), "links")
+    first = stored(compare(asked_first, info, reps, docs, text), "links")
     named = reps.join(components(first).withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     named = stored(named.select("sid", "gid", "component"), "families")
 
@@ -423,8 +470,8 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     )
     covered_pairs = _frequent_pairs(matches, named.join(measured.join(covered, "sid", "left_semi").select("sid", "size", "part"), "sid"))
     rest = opened_pairs.union(_across(named, "gid")).union(covered_pairs)
-    new_pairs = _pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti")
-    second = stored(compare(new_pairs, texts), "links")
+    new_pairs = stored(_pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti"), "pairs")
+    second = stored(compare(new_pairs, info, reps, docs, text), "links")
 
     linked = components(first.union(second)).withColumnRenamed("id", "sid")
     placed = reps.select("sid", "rep").join(linked, "sid", "left").withColumn("component", F.coalesce("component", "sid"))

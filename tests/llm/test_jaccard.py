@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from stayrate.llm import jaccard
@@ -102,3 +103,27 @@ def test_empty_table(documents):
 def test_query_equals_comparing_all_pairs(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op3_ngram_jaccard(spark, sf_dir).collect()), key=str) == brute_force(rows)
+
+
+def test_a_bound_from_sketches_never_lies_below_what_is_shared():
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 1 << 63, 900, dtype=np.uint64)
+    made = [np.unique(np.concatenate([base[: draw.integers(0, 900)], draw.integers(0, 1 << 63, draw.integers(0, 300), dtype=np.uint64)])) for _ in range(60)]
+    made += [base[:0], base[:1], np.unique(base)]
+    held = jaccard.sketches(np.concatenate(made), np.concatenate([[0], np.cumsum([len(x) for x in made])]))
+    bits = [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in held]
+    for one, x in zip(made, bits):
+        for two, y in zip(made, bits):
+            shared = len(np.intersect1d(one, two))
+            most = jaccard.most_shared(x, y, len(one), len(two))
+            assert shared <= most <= min(len(one), len(two))
+            if len(one) > 100 and shared < len(one) / 2 <= len(two) / 2 and 3 * len(two) <= 4 * len(one):  # of sizes that are compared
+                assert most < 0.75 * len(one)  # unlike sets are told apart
+
+
+def test_pairs_are_compared_once_with_repeated_ids(documents):
+    """One doc_id on equal rows, on unlike texts and on none: every text is compared under its own set."""
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join(words[:55])
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (1, "x y z"), (2, near), (None, near + " end"), (None, "x y q r s t")]
+    assert found(documents(rows)) == brute_force(rows)
