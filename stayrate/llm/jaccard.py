@@ -283,11 +283,15 @@ def _similar(shared: int, n: int, m: int) -> bool:
     return 100 * shared >= 75 * (n + m - shared)
 
 
+def _sides(pairs: DataFrame) -> DataFrame:
+    """The sets that ``pairs`` ask for. Written, so the planner knows the size and moves what is joined only where it must."""
+    return stored(pairs.selectExpr("explode(array(a, b)) as sid").distinct(), "asked")
+
+
 def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the columns of ``sets`` (sid, ...) for either side, in order. Sets are looked up once each."""
-    asked = pairs.selectExpr("explode(array(a, b)) as sid").distinct()
+    """``pairs`` (a, b) with the columns of ``sets`` (sid, ...) for either side, in order."""
     rest = [c for c in sets.columns if c != "sid"]
-    once = sets.join(asked, "sid", "left_semi").dropDuplicates(["sid"])
+    once = sets.dropDuplicates(["sid"])
     sides = [once.select(F.col("sid").alias(side), *(F.col(c).alias(c + "_" + side) for c in rest)) for side in "ab"]
     return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", *(c + "_" + side for side in "ab" for c in rest))
 
@@ -304,7 +308,8 @@ def promising(pairs: DataFrame, info: DataFrame) -> DataFrame:
                 keep[k] = _similar(most_shared(one, two, i, j), i, j)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return _beside(pairs, info.where("size > 0").select("sid", "size", "sketch")).mapInArrow(run, "a long, b long")
+    asked = info.where("size > 0").select("sid", "size", "sketch").join(_sides(pairs), "sid", "left_semi")
+    return _beside(pairs, asked).mapInArrow(run, "a long, b long")
 
 
 def shingles_of(docs: DataFrame, reps: DataFrame, text: str = "text") -> DataFrame:
@@ -336,7 +341,7 @@ def compare(pairs: DataFrame, info: DataFrame, reps: DataFrame, docs: DataFrame,
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     likely = stored(promising(pairs, info), "likely")
-    asked = reps.select("sid", "rep").join(likely.selectExpr("explode(array(a, b)) as sid").distinct(), "sid", "left_semi")
+    asked = stored(reps.select("sid", "rep").join(_sides(likely), "sid", "left_semi"), "asked")
     return _beside(likely, shingles_of(docs, asked, text)).mapInArrow(run, "a long, b long")
 
 
