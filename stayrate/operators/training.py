@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -24,6 +24,10 @@ from stayrate.sources.storage import checkpoint_dir
 
 _ROW_KEY = "_row_key"
 
+#: Rows and numbers that one task of a fit reads. Trees keep every number of a row uncompressed.
+TASK_ROWS = 20_000
+TASK_NUMBERS = 2_000_000
+
 
 @dataclass(frozen=True)
 class TrainingConfig:
@@ -118,6 +122,24 @@ def split_rows(df: DataFrame, config: TrainingConfig) -> tuple[DataFrame, DataFr
     return model_inputs(train.drop(_ROW_KEY), ("fold",)), test.drop(_ROW_KEY)
 
 
+def vector_width(df: DataFrame) -> int:
+    """Numbers of a row: the vector's slots as its metadata names them, or the numeric columns."""
+    if "features" not in df.columns:
+        return len(numeric_columns(df, exclude=("label", "fold")))
+    described = df.schema["features"].metadata.get("ml_attr", {})
+    return described.get("num_attrs", sum(map(len, described.get("attrs", {}).values())))
+
+
+def spread_rows(train: DataFrame, *, rows: int = TASK_ROWS, numbers: int = TASK_NUMBERS) -> DataFrame:
+    """``train`` in even pieces of ``rows`` rows, fewer where rows are wide; a table of one piece stays as it is.
+
+    Files do not bound what a task reads: a compact store has few row groups, each of them one task's work, and
+    what the learners keep of a row is many times its size there.
+    """
+    pieces = -(-train.count() // max(1, min(rows, numbers // max(1, vector_width(train)))))
+    return train if pieces <= 1 else train.repartition(pieces)
+
+
 def cross_validate(train: DataFrame, estimator: Estimator, grid: list[dict], config: TrainingConfig) -> CrossValidatorModel:
     """Grid search on the ``fold`` column, ranked by area under ROC."""
     checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there every few rounds
@@ -135,23 +157,20 @@ def cross_validate(train: DataFrame, estimator: Estimator, grid: list[dict], con
 
 
 def train_all(train: DataFrame, config: TrainingConfig) -> dict[str, CrossValidatorModel]:
-    """Search all models, ``config.parallelism`` fits at a time over models and grid points.
+    """Search all models side by side, each with ``config.parallelism`` fits at a time.
 
-    A grid with that many points keeps all fits busy, so such searches run one after the other; smaller ones run
-    side by side. The fits do not depend on each other; the driver holds models only, the rows stay in ``train``.
+    The end of one search, a few long fits and one more of the best point, then leaves no cores idle. The fits do
+    not depend on each other; the driver holds models only, the rows stay in ``train``.
     """
     searches = candidates(config)
-    points = max((len(grid) for _, grid in searches.values()), default=1)
-    at_once = max(1, min(len(searches), config.parallelism // points))
-    each = replace(config, parallelism=max(1, config.parallelism // at_once))
-    with ThreadPoolExecutor(at_once) as pool:
-        fits = {name: pool.submit(cross_validate, train, est, grid, each) for name, (est, grid) in searches.items()}
+    with ThreadPoolExecutor(max(1, len(searches))) as pool:
+        fits = {name: pool.submit(cross_validate, train, est, grid, config) for name, (est, grid) in searches.items()}
         return {name: fit.result() for name, fit in fits.items()}
 
 
 def train_fixed(train: DataFrame, name: str, *, seed: int = 42) -> PipelineModel:
     checkpoint_dir(train.sparkSession)
-    inputs = model_inputs(train)
+    inputs = spread_rows(model_inputs(train))
     return Pipeline(stages=[*feature_stages(inputs), fixed_classifier(name, seed)]).fit(inputs)
 
 

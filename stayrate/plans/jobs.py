@@ -27,6 +27,7 @@ from stayrate.operators.training import (
     model_report,
     sample_rows,
     split_rows,
+    spread_rows,
     train_all,
 )
 from stayrate.schemas import MODEL_NAMES, TARGET_ROWS
@@ -129,7 +130,7 @@ def training_job(
     quarantined = unusable.count()
     train, test = split_rows(usable, config)
     # Both are read many times; on disk they leave the memory to the learners' own caches.
-    train = train.persist(StorageLevel.DISK_ONLY)
+    train = spread_rows(train).persist(StorageLevel.DISK_ONLY)
     predictions = None
     try:
         fitted = train_all(train, config)
