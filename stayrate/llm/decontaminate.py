@@ -2,11 +2,10 @@
 
 1. Passages of ``PASSAGE`` words from all texts form a TF-IDF matrix over hashed words; IDF counts
    passages of the whole corpus.
-2. A randomised SVD finds its leading right singular vectors, from the passages of at most
-   ``BASIS_TEXTS`` texts (documented bound of the index's fit; every passage is searched) and of the
+2. A randomised SVD finds its leading right singular vectors, from the passages of all texts and of the
    benchmark, so that no item lies outside of them: one pass multiplies a random matrix by
-   the passages and back (task by task, summed as tables of fixed size), its orthonormal basis is taken
-   on the driver, and a second pass gives the small matrix whose eigenvectors turn the basis.
+   the passages and back (task by task, summed as tables of fixed size), and from that product alone the
+   driver has the eigenvectors (Nystroem's approximation of the passages' products).
 3. Benchmark items and overlapping windows of every text are projected; a window whose cosine with
    an item is at least ``COSINE`` is a candidate. So is every window that holds as many of the item's
    rarest words as a copy must: if a copy has at least r of an item's n words in order, it has at least
@@ -49,7 +48,6 @@ LEAST = 8
 ITEM_BLOCK = 20_000
 TOGETHER = 5  # candidate regions in a row that are first checked as one
 PROBE_ITEMS = 256  # items whose rare words are looked up at a time
-BASIS_TEXTS = 10_000
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +100,6 @@ def _passages(data: np.ndarray, offsets: np.ndarray, idf: np.ndarray, basis: np.
     return key % BUCKETS, owner, weight, projected
 
 
-def basis_texts(docs: DataFrame, text: str = "text", limit: int = BASIS_TEXTS) -> DataFrame:
-    """At most ``limit`` texts, those with the smallest hash of doc_id (their ids are broadcast)."""
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", text).join(F.broadcast(ids), "doc_id").select(text)
-
-
 def latent_basis(docs: DataFrame, idf: np.ndarray, text: str = "text", rank: int = RANK, extra: int = EXTRA, seed: int = 23) -> np.ndarray:
     """Word bucket by dimension: the passages' leading right singular vectors over singular values.
 
@@ -131,23 +123,18 @@ def latent_basis(docs: DataFrame, idf: np.ndarray, text: str = "text", rank: int
         yield number_blocks(total)
 
     image = summed_blocks(docs.select(text).mapInArrow(there_and_back, NUMBERS), BUCKETS * width).reshape(BUCKETS, width)
-    basis = np.linalg.qr(image)[0].astype(np.float32)
-    turned = context.broadcast((idf.astype(np.float32), basis))
+    return leading_vectors(image, start.astype(np.float64), rank)
 
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, held = turned.value
-        total = np.zeros((width, width))
-        for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0)):
-                y = _passages(data, offsets, weights, held)[3].astype(np.float64)
-                total += y.T @ y
-        yield number_blocks(total)
 
-    gram = summed_blocks(docs.select(text).mapInArrow(small, NUMBERS), width * width).reshape(width, width)
-    values, vectors = np.linalg.eigh(gram)
-    keep = np.argsort(-values)[:rank]
-    scale = 1 / np.sqrt(np.maximum(values[keep], 1e-9 * max(values.max(), 1e-30)))
-    return (basis @ vectors[:, keep] * scale).astype(np.float32)
+def leading_vectors(image: np.ndarray, start: np.ndarray, rank: int) -> np.ndarray:
+    """Leading eigenvectors over the roots of their eigenvalues, of a matrix that turned ``start`` into ``image``."""
+    met = start.T @ image
+    values, vectors = np.linalg.eigh((met + met.T) / 2)
+    keep = values > 1e-6 * max(values.max(), 1e-30)  # what single-precision sums leave of a smaller one is noise
+    left, spread, _ = np.linalg.svd(image @ vectors[:, keep] / np.sqrt(values[keep]), full_matrices=False)
+    found = np.zeros((len(image), rank), np.float32)
+    found[:, : min(rank, len(spread))] = (left / np.maximum(spread, 1e-15))[:, :rank]
+    return found
 
 
 def common_subsequence(rows: list[int], length: int) -> int:
@@ -354,8 +341,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", cosine
     """One row for each text and item that it holds: doc_id, item_id, lcs, answer, place in words."""
     frequency, passages = passage_frequencies(docs, text)
     idf = np.log((2 + passages) / (1 + frequency))
-    told = basis_texts(docs, text).union(benchmark.select("text"))
-    basis = latent_basis(told, idf, text)
+    basis = latent_basis(docs.select(text).union(benchmark.select("text")), idf, text)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").alias("text")).where("text is not null").distinct()
     blocks = bucket_count(items.count(), ITEM_BLOCK)
     found = None

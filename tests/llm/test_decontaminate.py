@@ -151,3 +151,28 @@ def test_a_slice_against_many_items_stays_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 300e6
+
+
+def test_basis_is_learned_from_every_text(spark, monkeypatch):
+    told = []
+
+    def learned(texts, idf, text="text"):
+        told.append(texts.where("text is not null").count())
+        return np.zeros((D.BUCKETS, D.RANK), np.float32)
+
+    monkeypatch.setattr(D, "latent_basis", learned)
+    docs = spark.range(12_000).selectExpr("nullif(id, 0) AS doc_id", "concat('word', id) AS text")
+    items = spark.createDataFrame([(1, "some other words")], "item_id long, text string")
+    D.find_leaks(docs, items)
+    assert told == [12_001]
+
+
+def test_vectors_from_one_product_are_exact_for_a_small_rank():
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(20, 300))
+    start = draw.normal(size=(300, 56))
+    found = D.leading_vectors(rows.T @ (rows @ start), start, 48)
+    assert found.shape == (300, 48) and not found[:, 20:].any()
+    turned = rows @ found[:, :20]
+    assert np.abs(turned.T @ turned - np.eye(20)).max() < 1e-4
+    assert not D.leading_vectors(np.zeros((300, 56)), start, 48).any()
