@@ -16,9 +16,11 @@ What keeps this exact and small:
   it as shared. A set whose stored part has too few other shingles to be found without them is
   "covered": covered sets are compared among themselves by their rarest frequent shingles too.
 * **Families.** Members are first compared with their group's leader, and leaders with each other.
-  Afterwards only pairs from different components are opened, so thousands of near copies cost
-  thousands of comparisons, not millions. Only components are wanted, so no link between components
-  is lost.
+  So are sets that meet by hash in parties of about ``PARTY``: of those in the same group, and of those
+  whose least frequent shingle by some hash is the same. Many near copies of which none is like
+  most others become one component by such chance meetings. Afterwards all pairs from different components are opened,
+  so thousands of near copies cost thousands of comparisons, not millions. Only components are wanted, so no link between
+  components is lost.
 
 * **Sketches.** A pair is looked at by its sets' bit sketches first (half a byte to a byte a shingle): each bit
   that one sketch has and the other lacks is a shingle that is not shared. Only pairs that may still
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +58,9 @@ TASK_TOKENS = 1_000_000
 SKETCH = 4  # minimum hashes that members of a group share; fewer would group texts by a shared passage
 EXPAND = 2_000_000
 SKETCH_BITS = 64  # the shortest sketch
+PARTY = 16  # sets that meet by chance before all pairs that are left are opened
+MEETINGS = 2  # hashes by which covered sets meet
+CELL = 1024  # sets on either side whose sketches are held against each other at once
 
 HEAD = np.dtype([("sid", "<i8"), ("gid", "<i8"), ("size", "<u4"), ("n", "<u4")])
 BODY = np.dtype([("low", "<u4"), ("high", "u1")])
@@ -329,8 +335,8 @@ def shingles_of(docs: DataFrame, reps: DataFrame, text: str = "text") -> DataFra
     return rows.join(reps, F.col("doc_id").eqNullSafe(F.col("rep"))).select("sid", "text").mapInArrow(run, "sid long, shingles binary")
 
 
-def compare(pairs: DataFrame, info: DataFrame, reps: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """The pairs (a, b) that reach the similarity. info: sid, size, sketch; reps: sid, rep."""
+def compare(likely: DataFrame, reps: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The pairs (a, b) of the written table ``likely`` that reach the similarity. reps: sid, rep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,45 +346,110 @@ def compare(pairs: DataFrame, info: DataFrame, reps: DataFrame, docs: DataFrame,
                 keep[k] = _similar(len(np.intersect1d(one, two, assume_unique=True)), len(one), len(two))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    likely = stored(promising(pairs, info), "likely")
     asked = stored(reps.select("sid", "rep").join(_sides(likely), "sid", "left_semi"), "asked")
     return _beside(likely, shingles_of(docs, asked, text)).mapInArrow(run, "a long, b long")
 
 
-def _pairs(edges: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Each unordered pair once, if its sizes allow the similarity."""
-    ordered = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    sized = ordered.join(sizes.select(F.col("sid").alias("a"), F.col("size").alias("_x")), "a").join(
-        sizes.select(F.col("sid").alias("b"), F.col("size").alias("_y")), "b"
-    )
-    return sized.where("4 * _x >= 3 * _y and 4 * _y >= 3 * _x").select("a", "b")
+_ALIKE = "4 * {0} >= 3 * {1} and 4 * {1} >= 3 * {0}"  # sizes that allow the similarity
+
 
+def _pairs(edges: DataFrame) -> DataFrame:
+    """Each unordered pair once, if its sizes allow the similarity; edges: a, x, b, y, with x and y the sizes."""
+    return edges.where("a <> b and " + _ALIKE.format("x", "y")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-def _across(members: DataFrame, key: str) -> DataFrame:
-    """Pairs (a, b) that share ``key`` and lie in different components; members: key, sid, component.
 
-    One side leaves out each key's largest component, so a large component costs its size for each set
-    outside of it and nothing for itself.
+def _parties(members: DataFrame) -> DataFrame:
+    """Edges (a, x, b, y) of sets that share ``key`` and fall into the same party of about ``PARTY``; members: key, sid, size.
+
+    The pairs grow with the number of members, not with its square, and are a start only: what they leave in different
+    components is opened in full later.
     """
-    counts = members.groupBy(key, "component").agg(F.count("*").alias("_n"))
-    largest = counts.groupBy(key).agg(F.max(F.struct("_n", "component"))["component"].alias("_largest"), F.count("*").alias("_several"))
-    mixed = largest.where("_several > 1")
-    few = members.join(mixed, key).where("component <> _largest").select(key, F.col("sid").alias("a"), F.col("component").alias("_ca"))
-    many = members.join(mixed, key).selectExpr(key, "sid as b", "component as _cb", "component <> _largest as _few")
-    met = few.join(many, key).where("_ca <> _cb and (not _few or a < b)")  # once for each key
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    counts = members.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    dealt = members.join(counts, "key").selectExpr("key", f"pmod(xxhash64(sid, key), ceil(_n / {PARTY})) as _party", "sid", "size")
+    one, two = (dealt.withColumnsRenamed({"sid": side, "size": size}) for side, size in ("ax", "by"))
+    return one.join(two, ["key", "_party"]).where("a > b and " + _ALIKE.format("x", "y")).select("a", "x", "b", "y")
+
 
+def _possible(few: pa.Table, many: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a row of ``few`` and one of ``many`` that sizes and sketches allow; columns sid, component, size, small, top, sketch.
 
-def _frequent_pairs(matches: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of covered sets from different components that frequent shingles alone may link.
+    One row of ``few`` is held against all of ``many`` with sketches of one length at a time.
+    """
+    sid, component, size, small, top = (many.column(c).to_numpy() for c in ("sid", "component", "size", "small", "top"))
+    length = np.array([len(v.as_buffer()) for v in many.column("sketch")], dtype=np.int64)
+    held = []
+    for n in np.unique(length):
+        at = np.flatnonzero(length == n)
+        held.append((int(n), at, np.frombuffer(b"".join(many.column("sketch").take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)))
+    for row in few.select(["sid", "component", "size", "small", "sketch"]).to_pylist():
+        for n, at, bits in held:
+            fits = (4 * size[at] >= 3 * row["size"]) & (4 * row["size"] >= 3 * size[at]) & (component[at] != row["component"]) & (small[at] | row["small"])
+            fits &= top[at] | (sid[at] < row["sid"])  # two of the few meet twice
+            at, bits = at[fits], bits[fits]
+            one = np.frombuffer(row["sketch"], np.uint64)
+            if len(at) == 0:
+                continue
+            while len(one) * 8 != n:  # the longer one is folded
+                if len(one) * 8 > n:
+                    one = one[: len(one) // 2] | one[len(one) // 2 :]
+                else:
+                    half = bits.shape[1] // 2
+                    bits, n = bits[:, :half] | bits[:, half:], n // 2
+            both = np.bitwise_count(bits & one).sum(1, dtype=np.int64)
+            shared = np.minimum(row["size"] - int(np.bitwise_count(one).sum()), size[at] - np.bitwise_count(bits).sum(1, dtype=np.int64)) + both
+            at = at[100 * shared >= 75 * (row["size"] + size[at] - shared)]
+            yield np.full(len(at), row["sid"]), sid[at]
+
+
+def _likely(members: DataFrame, info: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share ``key``, lie in different components and are not ruled out by sizes and sketches.
+
+    members: key, sid, component, size, small; of a pair one must be ``small``. Sets meet in cells of ``CELL`` by ``CELL``, and
+    only pairs that pass leave a cell: neither rows nor memory grow with the number of pairs that are looked at. One side
+    leaves out each key's largest component, so a large component costs its size and nothing for itself.
+    """
+    counts = members.groupBy("key", "component").agg(F.count("*").alias("_n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("_n", "component")).alias("_top"), F.sum("_n").alias("_all"), F.count("*").alias("_several")).where("_several > 1")
+    mixed = stored(
+        members.join(largest, "key").selectExpr(
+            "key", "sid", "component", "size", "small", "component = _top.component as top", f"ceil((_all - _top._n) / {CELL}) as rows", f"ceil(_all / {CELL}) as columns"
+        ),
+        "meeting",
+    )
+    asked = stored(mixed.select("sid").distinct(), "asked")
+    sketch = info.where("size > 0").select("sid", "sketch").join(asked, "sid", "left_semi").dropDuplicates(["sid"])
+    cells = mixed.agg(F.sum(F.expr("rows + if(top, 0, columns)"))).first()[0] or 0
+    place = "key", "pmod(xxhash64(sid), {0}) as _{0}", "explode(sequence(0, {1} - 1)) as _{1}", "sid", "component", "size", "small", "top", "sketch"
+    met = mixed.join(sketch, "sid")
+    few = met.where("not top").selectExpr(*(c.format("rows", "columns") for c in place), "true as few")
+    many = met.selectExpr(*(c.format("columns", "rows") for c in place), "false as few")
+    dealt = few.unionByName(many).withColumn("_cell", F.xxhash64("key", "_rows", "_columns")).withColumn("_bucket", F.expr(f"pmod(_cell, {1 + cells // (4 * CELL)})"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_cell")
+        starts = runs(rows.column("_cell").to_numpy())
+        found = [(np.zeros(0, np.int64),) * 2]
+        for i, j in zip(starts, np.append(starts[1:], rows.num_rows)):
+            cell = rows.slice(i, j - i)
+            side = cell.column("few").combine_chunks()
+            found += _possible(cell.filter(side), cell.filter(pc.invert(side)))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    dealt = dealt.select("_bucket", "_cell", "few", "sid", "component", "size", "small", "top", "sketch")
+    return dealt.groupBy("_bucket").applyInArrow(run, "a long, b long").distinct()
+
+
+def _by_frequent(matches: DataFrame, members: DataFrame) -> DataFrame:
+    """Covered sets by the keys under which frequent shingles alone may link them: key, sid, component, size, small.
 
     members: sid, gid, component, size, part of the covered sets. A pair that shares some other stored
     shingle is opened by its overlap already, so here all shingles of a set that are not frequent count
     as unshared. Two sets of sizes s <= l are similar when they share 3/7 of s + l, so s has at most s/7
     unshared shingles and l at most l/4. In one order of the frequent shingles, rarest first, the pair
     meets in what remains of these numbers on either side, plus one. Sets up to ``WHOLE`` are ordered with
-    all of their shingles, pairs with a larger set by the low ones. Lists are kept for each family, the
-    members of a group that lie in one component.
+    all of their shingles, pairs with a larger set by the low ones. Lists are made for each family, the
+    members of a group that lie in one component. ``small`` marks a set that is listed as the smaller of a pair too.
     """
     kinds = members.selectExpr("*", f"explode(filter(array(if(size <= {WHOLE}, false, null), if(size >= {PART}, true, null)), x -> x is not null)) as low")
     kinds = kinds.withColumn("part", F.expr("if(low, part, size)"))
@@ -386,9 +457,6 @@ def _frequent_pairs(matches: DataFrame, members: DataFrame) -> DataFrame:
     families = kinds.groupBy(*family).agg(
         F.min(F.expr("part - size div 7")).alias("_as_small"),
         F.min(F.expr("part - size div 4")).alias("_as_large"),
-        F.min("size").alias("least"),
-        F.max("size").alias("most"),
-        F.max(F.expr("size - part")).alias("spare"),
     )
     cells = matches.where(f"kind = {POST}").selectExpr("a as gid", "b as token")
     placed = cells.join(families.select(*family), "gid").where(f"not low or token >= {1 << 39}")
@@ -402,30 +470,8 @@ def _frequent_pairs(matches: DataFrame, members: DataFrame) -> DataFrame:
     inside = Window.partitionBy(*family)
     ranked = mixed.withColumn("place", F.sum("weight").over(inside.orderBy("width", "class"))).withColumn("all", F.sum("weight").over(inside)).join(families, family)
     ranked = ranked.withColumn("_from", F.expr("place - weight"))  # a class is listed if any shingle of it is
-    posts = stored(
-        ranked.where("_from < all + 1 - _as_large").selectExpr(
-            *family, "class", "weight", "place", "all", "least", "most", "spare", "component = _largest as top", "_from < all + 1 - _as_small as small"
-        ),
-        "posts",
-    )
-
-    def side(suffix: str, where: str) -> DataFrame:
-        return posts.where(where).select("class", "low", *(F.col(c).alias(c + suffix) for c in ("gid", "component", "weight", "place", "all", "least", "most", "spare")))
-
-    # one side of each join leaves out the largest component of the class
-    met = [side("_s", f"small and {one}").join(side("_l", other), ["class", "low"]) for one, other in (("not top", "true"), ("top", "not top"))]
-    both = met[0].union(met[1]).where("component_s <> component_l and least_s <= most_l and 3 * least_l <= 4 * most_s")
-    shared = both.groupBy("low", "gid_s", "component_s", "gid_l", "component_l").agg(
-        F.expr("sum(weight_s) + least(max(all_s) - max(place_s), max(all_l) - max(place_l))").alias("shared"),
-        *(F.max(c).alias(c) for c in ("least_s", "least_l", "spare_s", "spare_l")),
-    )
-    shared = shared.where("7 * (shared + least(spare_s, spare_l)) >= 3 * (least_s + greatest(least_s, least_l))")
-    shared = shared.select("low", "gid_s", "component_s", "gid_l", "component_l", "shared")
-    one, two = (kinds.selectExpr("low", *(f"{c} as {c}_{x}" for c in ("gid", "component", "sid", "size", "part"))) for x in ("s", "l"))
-    pairs = shared.join(one, ["low", "gid_s", "component_s"]).join(two, ["low", "gid_l", "component_l"])
-    return pairs.where(
-        f"size_s <= size_l and (not low or size_l > {WHOLE}) and 7 * (shared + least(size_s - part_s, size_l - part_l)) >= 3 * (size_s + size_l)"
-    ).selectExpr("sid_s as a", "sid_l as b")
+    posts = ranked.where("_from < all + 1 - _as_large").selectExpr(*family, "class", "_from < all + 1 - _as_small as small")
+    return posts.join(kinds, family).select(F.xxhash64("class", "low").alias("key"), "sid", "component", "size", "small")
 
 
 def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -437,7 +483,6 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
         "distinct-sets",
     )
     matches = stored(matrix_blocks(docs, buckets, text).groupBy("bucket").applyInArrow(lambda rows: _match(rows, frequent), MATCH_SCHEMA), "matrix")
-    groups = reps.groupBy("gid").agg(F.min("sid").alias("leader"), F.count("*").alias("members"))
 
     cover = matches.where(f"kind = {COVER}").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("cover"))
     measured = stored(reps.join(cover, "sid", "left").withColumn("cover", F.coalesce("cover", F.lit(0))), "measured")
@@ -453,30 +498,33 @@ def similar_components(docs: DataFrame, text: str = "text", frequent: int = FREQ
     )
     covered = measured.where("part - cover < floor(size / 4) + 1").select("sid")
 
-    leaders = groups.select("gid", "leader")
-    other = leaders.select(F.col("gid").alias("other"), F.col("leader").alias("b"))
-    to_leader = reps.join(leaders, "gid").selectExpr("sid as a", "leader as b")
-    between = open_.select("gid", "other").distinct().join(leaders, "gid").join(other, "other").selectExpr("leader as a", "b")
+    leaders = reps.groupBy("gid").agg(F.min(F.struct("sid", "size", "part")).alias("_l")).selectExpr("gid", "_l.sid as leader", "_l.size as x", "_l.part as part")
+    other = leaders.selectExpr("gid as other", "leader as b", "x as y")
+    to_leader = reps.select("gid", "sid", "size").join(leaders, "gid").selectExpr("sid as a", "size as x", "leader as b", "x as y")
+    between = open_.select("gid", "other").distinct().join(leaders, "gid").join(other, "other").selectExpr("leader as a", "x", "b", "y")
     stars = matches.where(f"kind = {STAR}").groupBy(F.col("a").alias("gid"), F.col("b").alias("other")).agg(F.sum("n").alias("n"))
-    between_hot = (
-        stars.join(leaders, "gid").join(other, "other").join(reps.selectExpr("sid as leader", "part"), "leader").where("4 * n >= part").selectExpr("leader as a", "b")
-    )
-    asked_first = stored(_pairs(to_leader.union(between).union(between_hot), reps), "pairs")
-    first = stored(compare(asked_first, info, reps, docs, text), "links")
+    between_hot = stars.join(leaders, "gid").where("4 * n >= part").join(other, "other").selectExpr("leader as a", "x", "b", "y")
+    in_group = reps.selectExpr("gid as key", "sid", "size")
+    hashes = matches.where(f"kind = {POST}").groupBy(F.col("a").alias("gid")).agg(F.array(*(F.min(F.xxhash64("b", F.lit(k))) for k in range(MEETINGS))).alias("keys"))
+    meeting = reps.join(covered, "sid", "left_semi").join(hashes, "gid").selectExpr("explode(keys) as key", "sid", "size")
+    by_chance = _parties(in_group.union(meeting))
+    asked_first = stored(_pairs(to_leader.union(between).union(between_hot).union(by_chance)), "pairs")
+    first = stored(compare(stored(promising(asked_first, info), "likely"), reps, docs, text), "links")
     named = reps.join(components(first).withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    named = stored(named.select("sid", "gid", "component"), "families")
+    named = stored(named.select("sid", "gid", "component", "size"), "families")
 
     # what is left: pairs from different components
     opened_pairs = (
         open_.join(named.selectExpr("sid", "component as _ca"), "sid")
-        .join(named.join(measured.selectExpr("sid", "size as _size", "cover as _cover"), "sid").selectExpr("gid as other", "sid as b", "component as _cb", "_size", "_cover"), "other")
+        .join(named.join(measured.selectExpr("sid", "cover as _cover"), "sid").selectExpr("gid as other", "sid as b", "component as _cb", "size as _size", "_cover"), "other")
         .where("_ca <> _cb and 7 * (rest + least(cover, _cover)) >= 3 * (size + _size)")
-        .selectExpr("sid as a", "b")
+        .selectExpr("sid as a", "size as x", "b", "_size as y")
     )
-    covered_pairs = _frequent_pairs(matches, named.join(measured.join(covered, "sid", "left_semi").select("sid", "size", "part"), "sid"))
-    rest = opened_pairs.union(_across(named, "gid")).union(covered_pairs)
-    new_pairs = stored(_pairs(rest, reps).join(asked_first, ["a", "b"], "left_anti"), "pairs")
-    second = stored(compare(new_pairs, info, reps, docs, text), "links")
+    opened = stored(_pairs(opened_pairs).join(asked_first, ["a", "b"], "left_anti"), "pairs")
+    by_frequent = _by_frequent(matches, named.join(measured.join(covered, "sid", "left_semi").select("sid", "part"), "sid"))
+    members = named.selectExpr("gid as key", "sid", "component", "size", "true as small").union(by_frequent)
+    likely = promising(opened, info).union(_likely(members, info)).distinct().join(asked_first, ["a", "b"], "left_anti")
+    second = stored(compare(stored(likely, "likely"), reps, docs, text), "links")
 
     linked = components(first.union(second)).withColumnRenamed("id", "sid")
     placed = reps.select("sid", "rep").join(linked, "sid", "left").withColumn("component", F.coalesce("component", "sid"))

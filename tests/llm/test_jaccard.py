@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stayrate.llm import jaccard
@@ -127,3 +128,38 @@ def test_pairs_are_compared_once_with_repeated_ids(documents):
     near = " ".join(words[:55])
     rows = [(1, " ".join(words)), (1, " ".join(words)), (1, "x y z"), (2, near), (None, near + " end"), (None, "x y q r s t")]
     assert found(documents(rows)) == brute_force(rows)
+
+
+def test_near_copies_unlike_most_others_make_no_rows_by_the_square(documents, monkeypatch):
+    """Near copies of one text, each with its own words in four places: few pairs link, and no table holds all pairs."""
+    draw = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(240):
+        text = list(base)
+        for place in draw.sample(range(150), draw.choice([1, 2, 3, 4, 4, 4])):
+            text[place] = f"own{k}x{place}"
+        rows.append((k, " ".join(text)))
+    made = []
+    monkeypatch.setattr(jaccard, "stored", lambda df, name, write=jaccard.stored: made.append((name, (out := write(df, name)).count())) or out)
+    assert found(documents(rows), frequent=4) == brute_force(rows)
+    assert max(n for name, n in made if name in ("pairs", "likely", "links")) < 240 * 30  # of 28,680 pairs
+
+
+def test_cells_rule_out_what_sketches_rule_out():
+    """Sketches of unlike lengths, sets of one component and of none marked small."""
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 1 << 63, 140, dtype=np.uint64)
+    made = [np.unique(np.concatenate([base[: draw.integers(20, 140)], draw.integers(0, 1 << 63, draw.integers(1, 30), dtype=np.uint64)])) for _ in range(70)]
+    held = jaccard.sketches(np.concatenate(made), np.concatenate([[0], np.cumsum([len(x) for x in made])]))
+    rows = [{"sid": k, "component": k // 3, "size": len(x), "small": k % 4 > 0, "top": k >= 40, "sketch": held[k].as_py()} for k, x in enumerate(made)]
+    kept = {(int(i), int(j)) for a, b in jaccard._possible(pa.Table.from_pylist(rows[:40]), pa.Table.from_pylist(rows)) for i, j in zip(a, b)}
+    bits = [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in held]
+    expected = set()
+    for one in rows[:40]:
+        for two in rows:
+            i, j, n, m = one["sid"], two["sid"], one["size"], two["size"]
+            if (two["top"] or j < i) and one["component"] != two["component"] and (one["small"] or two["small"]) and 4 * n >= 3 * m and 4 * m >= 3 * n:
+                expected |= {(i, j)} if jaccard._similar(jaccard.most_shared(bits[i], bits[j], n, m), n, m) else set()
+    assert kept == expected and len(kept) > 20
+    assert {len(x) for x in bits if len(x)} >= {32, 64} and len({len(bits[i]) != len(bits[j]) for i, j in kept}) == 2
