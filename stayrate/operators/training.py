@@ -24,9 +24,10 @@ from stayrate.sources.storage import checkpoint_dir
 
 _ROW_KEY = "_row_key"
 
-#: Rows and numbers that one task of a fit reads. Trees keep every number of a row uncompressed.
-TASK_ROWS = 20_000
-TASK_NUMBERS = 2_000_000
+#: Rows and numbers that one task of a fit reads. Trees keep every number of a row uncompressed, so a task must not
+#: read too many; a boosted fit runs hundreds of jobs and pays for each task in each of them, so not too few either.
+TASK_ROWS = 100_000
+TASK_NUMBERS = 10_000_000
 
 
 @dataclass(frozen=True)

@@ -150,6 +150,15 @@ def test_training_rows_are_dealt_evenly_whatever_the_files_are(store):
     assert training.spread_rows(rows, numbers=1000 * width).rdd.getNumPartitions() == len(sizes)
 
 
+def test_tasks_of_a_fit_are_few_and_bounded(spark):
+    """Each task costs time in each of the hundreds of jobs of a boosted fit, whatever it reads."""
+    table = spark.range(0, 250_000, 1, 20).select(*(F.col("id").cast("double").alias(f"x{i}") for i in range(54)), F.lit(1.0).alias("label"))
+    sizes = [r["count"] for r in training.spread_rows(table).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 3 and sum(sizes) == 250_000 and max(sizes) <= 100_000
+    wide = table.select("*", *(F.col("x0").alias(f"y{i}") for i in range(146)))
+    assert training.spread_rows(wide).rdd.getNumPartitions() == 5
+
+
 def test_a_fit_deals_out_its_rows(store, monkeypatch):
     monkeypatch.setattr(training.spread_rows, "__kwdefaults__", {"rows": 1000, "numbers": training.TASK_NUMBERS})
     fitted = []
