@@ -150,6 +150,17 @@ def test_training_rows_are_dealt_evenly_whatever_the_files_are(store):
     assert training.spread_rows(rows, numbers=1000 * width).rdd.getNumPartitions() == len(sizes)
 
 
+def test_searched_forests_keep_node_ids_and_stay_the_same(store):
+    searched = training.candidates(training.TrainingConfig())
+    forest, grid = searched["RF"]
+    assert forest.getCacheNodeIds() and not searched["GBT"][0].getCacheNodeIds()
+    training.checkpoint_dir(store.sparkSession)
+    rows = training.model_inputs(store).repartition(3).localCheckpoint()
+    kept, walked = (forest.copy({**grid[-1], forest.numTrees: 20, forest.cacheNodeIds: keep}).fit(rows) for keep in (True, False))
+    assert max(tree.depth for tree in kept.trees) == 10
+    assert kept.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
+
+
 def test_tasks_of_a_fit_are_few_and_bounded(spark):
     """Each task costs time in each of the hundreds of jobs of a boosted fit, whatever it reads."""
     table = spark.range(0, 250_000, 1, 20).select(*(F.col("id").cast("double").alias(f"x{i}") for i in range(54)), F.lit(1.0).alias("label"))
